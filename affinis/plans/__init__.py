@@ -1 +1,6 @@
+"""Registered queries. Importing the modules fills the registry."""
 
+from affinis.plans import profile
+from affinis.plans.registry import REGISTRY
+
+__all__ = ["REGISTRY", "profile"]
