@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+__all__ = ["array_to_vector", "vector_to_array"]  # between arrays and ML vectors, dense or sparse
+
 
 def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x.cast("double"))

@@ -130,7 +130,12 @@ def substring_hits(queries: DataFrame, entities: DataFrame, limit: int, spec: Pr
         "query_id", "part", F.right(part, F.least(F.length(part), F.lit(3))).alias("__run")
     )
     low = F.lower(F.col(spec.name))
-    runs = [F.transform(F.sequence(F.lit(1), F.length(low)), lambda i, n=n: F.substring(low, i, F.lit(n))) for n in (1, 2, 3)]
+    starts = F.sequence(F.lit(1), F.length(low))
+    runs = [
+        F.transform(starts, lambda i: F.left(F.substr(low, i), F.lit(1))),
+        F.transform(starts, lambda i: F.left(F.substr(low, i), F.lit(2))),
+        F.transform(starts, lambda i: F.left(F.substr(low, i), F.lit(3))),
+    ]
     held = entities.filter(F.length(spec.name) > 0).select(
         spec.entity, spec.name, spec.group, F.explode(F.array_distinct(F.concat(*runs))).alias("__run")
     )

@@ -50,4 +50,4 @@ def top_k_smallest(scores: DataFrame, k: int = DEFAULT_K, score: str = "distance
 
 def seeded_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """``n`` rows chosen by a hash of key and seed: the same rows for any partitioning."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return df.orderBy(F.md5(F.concat_ws(":", F.col(key), F.lit(seed))), key).limit(n)

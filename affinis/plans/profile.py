@@ -352,10 +352,16 @@ def activity_totals(spark, sf):
     return rounded(report.activity_totals(wide, ACTIVITIES, SPEC), "total", digits=2)
 
 
-@query("seeded_sample")
+@query(
+    "seeded_sample",
+    f"""WITH {op.SQL_DIM} SELECT id_municipio, nome_municipio FROM dim
+    WHERE nome_regiao = (SELECT nome_regiao FROM dim WHERE nome_regiao IS NOT NULL
+      GROUP BY nome_regiao ORDER BY count(*) DESC, nome_regiao LIMIT 1)
+    ORDER BY md5(id_municipio || ':42'), id_municipio LIMIT 3""",
+)
 def sample(spark, sf):
     """Three customers of the largest region by a seeded hash."""
     dimension = op.dimension(spark, sf)
-    largest = dimension.groupBy("nome_regiao").count().orderBy(F.desc("count"), "nome_regiao").limit(1)
+    largest = dimension.filter("nome_regiao IS NOT NULL").groupBy("nome_regiao").count().orderBy(F.desc("count"), "nome_regiao").limit(1)
     inside = dimension.join(largest, "nome_regiao", "left_semi")
     return seeded_sample(inside.select(SPEC.entity, SPEC.name), 3, SPEC.entity)
