@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# (?U) makes \s cover no-break and other Unicode spaces; the four separators
-# x1c-x1f are spaces too in the profile contract but not in Java's class.
-SPACE = r"(?U)[\s\x1c-\x1f]+"
+# The characters that count as whitespace, besides the space itself.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
 
 # Letters a profile token may keep besides a-z and 0-9.
@@ -20,18 +22,21 @@ def _blank(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
+def _spaced(text: Column) -> Column:
+    """Every whitespace character as a plain space: cheaper than a Unicode pattern."""
+    return F.translate(text, SPACES, " " * len(SPACES))
+
+
 def normalise_text(text: Column) -> Column:
     """Strip, and collapse runs of whitespace to one space; NULL gives ''."""
-    return F.trim(F.regexp_replace(_blank(text), SPACE, " "))
+    spaced = F.trim(_spaced(_blank(text)))
+    return F.when(spaced.contains("  "), F.regexp_replace(spaced, " +", " ")).otherwise(spaced)
 
 
 def snake_token(text: Column) -> Column:
     """One lower-case token joined by underscores; NULL gives ''."""
-    spaced = F.regexp_replace(
-        F.lower(_blank(text)), rf"(?U)[^a-z0-9{TOKEN_LETTERS}\s\x1c-\x1f/_-]", " "
-    )
-    joined = F.regexp_replace(spaced, r"(?U)[\s\x1c-\x1f/-]+", "_")
-    return F.regexp_replace(joined, "^_+|_+$", "")
+    kept = F.regexp_replace(F.lower(_spaced(_blank(text))), rf"[^a-z0-9{TOKEN_LETTERS} /_-]", " ")
+    return F.regexp_replace(F.regexp_replace(kept, "[ /-]+", "_"), "^_+|_+$", "")
 
 
 def marked_number(text: Column, zero_marks: Sequence[str], null_marks: Sequence[str]) -> Column:
@@ -43,9 +48,14 @@ def marked_number(text: Column, zero_marks: Sequence[str], null_marks: Sequence[
     )
 
 
+def words(text: Column) -> Column:
+    """Words split at whitespace; NULL gives an empty array."""
+    return F.filter(F.split(_spaced(_blank(text)), " "), lambda word: word != "")
+
+
 def tokens(text: Column) -> Column:
     """Lower-case words split at whitespace; NULL gives an empty array."""
-    return F.filter(F.split(F.lower(_blank(text)), SPACE), lambda word: word != "")
+    return words(F.lower(text))
 
 
 def join_words(*parts: Column) -> Column:
@@ -54,8 +64,9 @@ def join_words(*parts: Column) -> Column:
 
 
 def name_key(text: Column) -> Column:
-    """Lower case without outer spaces; accents count."""
-    return F.lower(F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""))
+    """Lower case without outer spaces; inner spaces and accents count."""
+    outer = f"^[ {SPACES}]+|[ {SPACES}]+$"
+    return F.lower(F.regexp_replace(text, outer, ""))
 
 
 def same_name(left: Column, right: Column) -> Column:

@@ -7,12 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinis.functions.text import SPACE, shown_specialty
+from affinis.functions.text import shown_specialty, words
 from affinis.operators import lookup
 from affinis.operators.quality import consistency, require_columns
 from affinis.operators.similarity import nearest, norm_product, pair_dot, pair_overlap
 from affinis.operators.topk import DEFAULT_K, check_k
-from affinis.operators.vocabulary import count_vectors, fit_vocabulary, require_tokens, term_vectors, text_counts
+from affinis.operators.vocabulary import fit_vocabulary, term_vectors
 from affinis.session import written
 from affinis.spec import LIVESTOCK, ProfileSpec
 
@@ -23,22 +23,33 @@ NO_KNOWN_TOKEN = "no_known_token"
 
 @dataclass(frozen=True)
 class ProfileIndex:
-    """Feature table, vocabulary and term vectors that belong together."""
+    """Feature table and term vectors that belong together.
+
+    Both are read by every query: pass loaded or written tables.
+    """
 
     features: DataFrame
-    vocabulary: DataFrame
     vectors: DataFrame
     spec: ProfileSpec = LIVESTOCK
     stemming: bool = True
 
     @classmethod
     def build(cls, features: DataFrame, spec: ProfileSpec = LIVESTOCK, stemming: bool = True) -> ProfileIndex:
-        """Fit on a feature table. The counts are written once; the rest reads them."""
+        """Fit on a feature table; the vectors are written once."""
         require_columns(features, [spec.entity, spec.text])
-        counts = written(text_counts(features, spec.entity, spec.text, stemming), "counts")
-        vocabulary = fit_vocabulary(counts)
-        require_tokens(vocabulary)
-        return cls(features, vocabulary, written(count_vectors(counts, spec.entity), "vectors"), spec, stemming)
+        vectors = written(term_vectors(features, spec.entity, spec.text, stemming), "vectors")
+        if vectors.filter(F.col("l1") > 0).isEmpty():
+            raise ValueError("empty vocabulary: no profile text holds a token")
+        return cls(features, vectors, spec, stemming)
+
+    @property
+    def vocabulary(self) -> DataFrame:
+        """(token, idx, tf, df) of the vectors."""
+        return fit_vocabulary(self.vectors.select(self.spec.entity, F.inline("terms")))
+
+    def known_words(self) -> DataFrame:
+        """The known tokens, for lookups that need no index."""
+        return self.vectors.select(F.explode("terms.token").alias("token")).distinct()
 
     def check(self) -> None:
         """Raise when features and vectors do not hold the same entities."""
@@ -123,7 +134,7 @@ class ProfileIndex:
         return vectors.join(self.features.select(self.spec.entity, self.spec.group), self.spec.entity)
 
     def _transformed(self, queries: DataFrame) -> DataFrame:
-        return term_vectors(queries, "query_id", "text", self.stemming, self.vocabulary)
+        return term_vectors(queries, "query_id", "text", self.stemming, self.known_words())
 
     def _by_resolved(self, resolved: DataFrame, k: int, other_groups_only: bool) -> DataFrame:
         found = written(
@@ -138,12 +149,11 @@ class ProfileIndex:
 
     def _side(self, prefix: str) -> DataFrame:
         spec = self.spec
-        words = F.filter(F.split(F.col(spec.text), SPACE), lambda w: w != "")
         return self.features.join(self.vectors, spec.entity).select(
             F.col(spec.entity).alias(f"{prefix}_id"),
             F.col(spec.name).alias(f"{prefix}_name"),
             F.col(spec.group).alias(f"{prefix}_group"),
-            words.alias(f"{prefix}_tokens"),
+            words(F.col(spec.text)).alias(f"{prefix}_tokens"),
             *[F.col(c).alias(f"{prefix}_{c}") for c in ("terms", "sq", "l1")],
         )
 

@@ -78,6 +78,7 @@ def scored_pairs(
     entity: str,
     exclude_self: bool = False,
     group: str | None = None,
+    few: bool | None = None,
 ) -> DataFrame:
     """(query_id, entity, dot, overlap, q_sq, q_l1, sq, l1) of pairs that share a token.
 
@@ -85,11 +86,12 @@ def scored_pairs(
     (counted, not guessed) are broadcast, so the join and the sums per pair stay
     in the entity's partition and a token held by most entities weighs on no
     task. With more queries both sides are joined by token and a salt, and only
-    the sums per pair move again. Exclusions are part of the join.
+    the sums per pair move again. Exclusions are part of the join. ``few`` is
+    what the count says, where the caller has made it.
     """
     c_group = [F.col(group).alias("__c_group")] if group else []
     asked = _asked(queries, query_id, group, F.inline("terms")).withColumnRenamed("cnt", "q_cnt")
-    if fits_broadcast(asked):
+    if fits_broadcast(asked) if few is None else few:
         held = corpus.repartition(entity).select(entity, "sq", "l1", *c_group, F.inline("terms"))
         joined = held.join(F.broadcast(asked), "token")
     else:
@@ -168,14 +170,15 @@ def nearest(
     """
     check_k(k)
     check_metric(metric)
-    scored = scored_pairs(queries, corpus, query_id, entity, exclude_self, group).select(
+    few = fits_broadcast(queries.select(F.inline("terms")))
+    scored = scored_pairs(queries, corpus, query_id, entity, exclude_self, group, few).select(
         query_id, entity, metric_score(metric).alias("score")
     )
     filler = _fillers(corpus, entity, k, metric, group)
     c_group = [F.col(group).alias("__c_group")] if group else []
     packed = filler.agg(F.collect_list(F.struct(entity, "sq", "l1", *c_group))).scalar()
     offered = _asked(queries, query_id, group, F.inline(packed))
-    sharing = scored_pairs(queries, filler, query_id, entity).select(query_id, entity)
+    sharing = scored_pairs(queries, filler, query_id, entity, few=few).select(query_id, entity)
     apart = (
         _allowed(offered, query_id, entity, exclude_self, group)
         .join(sharing, [query_id, entity], "left_anti")
@@ -221,11 +224,13 @@ def similar_profiles(profiles: DataFrame, min_score: float) -> DataFrame:
     """All pairs of distinct profiles with cosine >= ``min_score`` > 0, left < right.
 
     Exact, without comparing all pairs. Tokens are put in one order, rarest
-    first. A pair this similar must have its first common token in the head of
-    both vectors, where the head ends once the rest is too short to reach the
-    score. So only heads are joined, which rarely hold a token that most
-    profiles share; a frequent token is spread over salts in proportion to its
-    rows. The lengths from that token on bound the score inside the join.
+    first, and each token of a vector knows the share of the squared length that
+    lies in it and behind it, its tail. At the first common token of a similar
+    pair the two tails multiply to at least the squared score. So both are at
+    least the squared score, which leaves a short head of each vector, and one of
+    them is at least the score, which leaves an even shorter one on that side. Heads
+    rarely hold a token that most profiles share; a frequent token is spread
+    over salts in proportion to its rows, and the product is tested in the join.
 
     Entities with the same vector are one profile: join ``profile_members`` to
     list pairs of entities. ``profiles`` is read several times.
@@ -242,14 +247,14 @@ def similar_profiles(profiles: DataFrame, min_score: float) -> DataFrame:
         .filter(F.col("tail") >= min_score * min_score * slack)
         .withColumn("n_salts", F.ceil(F.col("df") / HOT_TOKEN_ROWS).cast("int"))
     )
-    left = heads.select(
-        F.col("profile").alias("left_id"),
+    left = heads.filter(F.col("tail") >= min_score * slack).select(
+        F.col("profile").alias("l"),
         "token",
         F.col("tail").alias("l_tail"),
         F.pmod(F.xxhash64("profile"), F.col("n_salts")).cast("int").alias("salt"),
     )
     right = heads.select(
-        F.col("profile").alias("right_id"),
+        F.col("profile").alias("r"),
         "token",
         F.col("tail").alias("r_tail"),
         F.explode(F.sequence(F.lit(0), F.col("n_salts") - 1)).alias("salt"),
@@ -257,10 +262,9 @@ def similar_profiles(profiles: DataFrame, min_score: float) -> DataFrame:
     candidates = (
         left.join(right, ["token", "salt"])
         .filter(
-            (F.col("left_id") < F.col("right_id"))
-            & (F.col("l_tail") * F.col("r_tail") >= min_score * min_score * slack)
+            (F.col("l") != F.col("r")) & (F.col("l_tail") * F.col("r_tail") >= min_score * min_score * slack)
         )
-        .select("left_id", "right_id")
+        .select(F.least("l", "r").alias("left_id"), F.greatest("l", "r").alias("right_id"))
         .distinct()
     )
 

@@ -10,12 +10,13 @@ from affinis.operators.topk import top_k
 from affinis.plans import orders_profile as op
 from affinis.plans.registry import query, table
 from affinis.plans.similarity import ENTITY, SQL_LEADING, leading_customers
+from affinis.session import written
 
 SPEC = op.SPEC
 
 
 def index(spark, sf, stemming=False):
-    return recommend.ProfileIndex.build(op.features(spark, sf), SPEC, stemming)
+    return recommend.ProfileIndex.build(written(op.features(spark, sf), "features"), SPEC, stemming)
 
 
 # -- tables of queries, all derived from the given tables ----------------------

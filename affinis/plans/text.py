@@ -135,5 +135,6 @@ def stemmed_vocabulary(spark, sf):
 )
 def index_saved(spark, sf):
     path = scratch_path(spark, "index")
-    landing.save_index(ProfileIndex.build(op.features(spark, sf), op.SPEC, stemming=False), path)
-    return landing.load_index(spark, path, op.SPEC, stemming=False).vocabulary
+    landing.save_index(ProfileIndex.build(written(op.features(spark, sf), "features"), op.SPEC, stemming=False), path)
+    landing.load_index(spark, path, op.SPEC, stemming=False)
+    return landing.load(spark, f"{path}/vocabulary")

@@ -98,7 +98,7 @@ def load_index(
     spark: SparkSession, path: str, spec: ProfileSpec = LIVESTOCK, stemming: bool = True
 ) -> ProfileIndex:
     """Load a saved index and check that its tables belong together."""
-    tables = [load(spark, f"{path}/{name}") for name in ("features", "vocabulary", "vectors")]
+    tables = [load(spark, f"{path}/{name}") for name in ("features", "vectors")]
     index = ProfileIndex(*tables, spec, stemming)
     index.check()
     return index
