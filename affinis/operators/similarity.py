@@ -220,6 +220,22 @@ def profile_members(vectors: DataFrame, profiles: DataFrame, entity: str) -> Dat
     return vectors.select(entity, "terms").join(profiles.select("terms", "profile"), "terms").select("profile", entity)
 
 
+def _marks(terms: Column) -> Column:
+    """One bit of 64 for each token, by its hash."""
+    one = F.lit(1).cast("bigint")
+    return F.aggregate(
+        F.transform(terms, lambda t: F.call_function("shiftleft", one, F.pmod(F.xxhash64(t["token"]), F.lit(64)).cast("int"))),
+        F.lit(0).cast("bigint"),
+        lambda acc, bit: acc.bitwiseOR(bit),
+    )
+
+
+def _kept_share(side: str, other: str) -> Column:
+    """At most this share of a vector's squared length lies in tokens the other vector has."""
+    lacking = F.bit_count(F.col(f"{side}_marks").bitwiseAND(F.bitwise_not(F.col(f"{other}_marks"))))
+    return 1 - lacking / F.col(f"{side}_sq")
+
+
 def similar_profiles(profiles: DataFrame, min_score: float) -> DataFrame:
     """All pairs of distinct profiles with cosine >= ``min_score`` > 0, left < right.
 
@@ -230,14 +246,16 @@ def similar_profiles(profiles: DataFrame, min_score: float) -> DataFrame:
     least the squared score, which leaves a short head of each vector, and one of
     them is at least the score, which leaves an even shorter one on that side. Heads
     rarely hold a token that most profiles share; a frequent token is spread
-    over salts in proportion to its rows, and the product is tested in the join.
+    over salts in proportion to its rows. The join itself tests the product of
+    the tails, and a bound from 64-bit marks of the token sets: a bit that only
+    one side has is a token the other lacks.
 
     Entities with the same vector are one profile: join ``profile_members`` to
     list pairs of entities. ``profiles`` is read several times.
     """
     if not 0 < min_score <= 1:
         raise ValueError("min_score must be in (0, 1]")
-    terms = profiles.select("profile", "sq", F.inline("terms"))
+    terms = profiles.select("profile", "sq", _marks(F.col("terms")).alias("marks"), F.inline("terms"))
     frequency = terms.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     rest = Window.partitionBy("profile").orderBy("df", "token").rowsBetween(0, Window.unboundedFollowing)
     slack = 1 - 1e-9
@@ -247,22 +265,25 @@ def similar_profiles(profiles: DataFrame, min_score: float) -> DataFrame:
         .filter(F.col("tail") >= min_score * min_score * slack)
         .withColumn("n_salts", F.ceil(F.col("df") / HOT_TOKEN_ROWS).cast("int"))
     )
+    needed = min_score * min_score * slack
     left = heads.filter(F.col("tail") >= min_score * slack).select(
         F.col("profile").alias("l"),
         "token",
-        F.col("tail").alias("l_tail"),
+        *[F.col(c).alias(f"l_{c}") for c in ("tail", "marks", "sq")],
         F.pmod(F.xxhash64("profile"), F.col("n_salts")).cast("int").alias("salt"),
     )
     right = heads.select(
         F.col("profile").alias("r"),
         "token",
-        F.col("tail").alias("r_tail"),
+        *[F.col(c).alias(f"r_{c}") for c in ("tail", "marks", "sq")],
         F.explode(F.sequence(F.lit(0), F.col("n_salts") - 1)).alias("salt"),
     )
     candidates = (
         left.join(right, ["token", "salt"])
         .filter(
-            (F.col("l") != F.col("r")) & (F.col("l_tail") * F.col("r_tail") >= min_score * min_score * slack)
+            (F.col("l") != F.col("r"))
+            & (F.col("l_tail") * F.col("r_tail") >= needed)
+            & (_kept_share("l", "r") * _kept_share("r", "l") >= needed)
         )
         .select(F.least("l", "r").alias("left_id"), F.greatest("l", "r").alias("right_id"))
         .distinct()

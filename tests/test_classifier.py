@@ -57,6 +57,20 @@ def test_first_steps(small, asked, steps, weights, bias, loss, proba):
     assert probabilities(model, asked) == pytest.approx(proba, abs=1e-7)
 
 
+def test_against_numpy(small):
+    """Forty steps written out with whole arrays."""
+    rows = np.array([tuple(map(float, r)) for r in small.collect()])
+    x, y, w, b, losses = rows[:, :2], rows[:, 2], np.zeros(2), 0.0, []
+    for _ in range(40):
+        p = 1 / (1 + np.exp(-(x @ w + b)))
+        losses.append(-np.mean(y * np.log(p) + (1 - y) * np.log(1 - p)))
+        w, b = w - 0.3 * x.T @ (p - y) / len(y), b - 0.3 * np.mean(p - y)
+    model = C.GradientDescent(learning_rate=0.3, iterations=40, tolerance=0).fit(small, X, "y")
+    assert model.losses == pytest.approx(losses) and not model.converged
+    assert model.weights == pytest.approx(w) and model.bias == pytest.approx(b)
+
+
+@pytest.mark.slow
 def test_thousand_steps(small, asked):
     model = C.GradientDescent(iterations=1000, tolerance=0).fit(small.coalesce(1), X, "y")
     assert model.iterations_run == 1000 and not model.converged
