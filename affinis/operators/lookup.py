@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinis.functions.text import contains_text, name_key
-from affinis.session import fits_broadcast
+from affinis.operators.joins import salted_lookup
+from affinis.session import fits_broadcast, written
 from affinis.spec import LIVESTOCK, ProfileSpec
 
 # Smallest similarity of a fuzzy match, results of a search, suggestions shown.
@@ -41,7 +42,7 @@ def resolve_names(
     wanted = queries.select("query_id", name_key(F.col("name")).alias("__key"), F.upper("group").alias("__group"))
     known = entities.select(spec.entity, F.lower(spec.name).alias("__key"), F.col(spec.group).alias("__in"))
     hits = (
-        known.join(small(wanted), "__key")
+        salted_lookup(known, wanted, ["__key"], spec.entity)
         .filter(F.col("__group").isNull() | (F.col("__group") == F.col("__in")))
         # A name that very many entities share is counted before it moves.
         .groupBy("query_id", "__in")
@@ -140,7 +141,7 @@ def substring_hits(queries: DataFrame, entities: DataFrame, limit: int, spec: Pr
         spec.entity, spec.name, spec.group, F.explode(F.array_distinct(F.concat(*runs))).alias("__run")
     )
     return _first(
-        held.join(small(wanted), "__run").filter(contains_text(F.col(spec.name), F.col("part"))),
+        salted_lookup(held, wanted, ["__run"], spec.entity).filter(contains_text(F.col(spec.name), F.col("part"))),
         limit,
         [spec.entity],
     ).select("query_id", spec.entity, spec.name, spec.group)
@@ -208,7 +209,7 @@ def fuzzy_hits(
     common = F.array_intersect("n_letters", "q_letters")
     total = F.size("n_letters") + F.size("q_letters")
     candidates = (
-        held.join(small(wanted), "letter")
+        salted_lookup(held, wanted, ["letter"], spec.name)
         .filter(
             (2 * F.least(F.size("n_letters"), F.size("q_letters")) >= cutoff * total - 1e-9)
             # The pair meets once, at the first letter both heads hold.
@@ -243,8 +244,9 @@ def search(
         .filter(F.coalesce(F.col("__n"), F.lit(0)) < max_results)
         .select("query_id", "part")
     )
+    hits = written(fuzzy_hits(short, entities, max_results, spec, cutoff), "fuzzy")
     close = (
-        entities.join(fuzzy_hits(short, entities, max_results, spec, cutoff), spec.name)
+        salted_lookup(entities, hits, [spec.name], spec.entity)
         .groupBy("query_id", spec.name, spec.group)
         .agg(F.min(spec.entity).alias(spec.entity), F.max("ratio").alias("ratio"))
         .join(exact.select("query_id", spec.name, spec.group).distinct(), ["query_id", spec.name, spec.group], "left_anti")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from affinis.functions.text import shown_specialty, words
 from affinis.operators import lookup
+from affinis.operators.joins import attached, weighted_lookup
 from affinis.operators.quality import consistency, require_columns
 from affinis.operators.similarity import nearest, norm_product, pair_dot, pair_overlap
 from affinis.operators.topk import DEFAULT_K, check_k
@@ -106,7 +107,11 @@ class ProfileIndex:
     def explain(self, pairs: DataFrame) -> DataFrame:
         """Metrics on the vectors, and tokens of the raw texts, for (left_id, right_id) pairs."""
         left, right = self._side("left"), self._side("right")
-        both = pairs.select("left_id", "right_id").join(left, "left_id").join(right, "right_id")
+        wanted = pairs.select("left_id", "right_id")
+        asked = wanted.groupBy("right_id").agg(F.count(F.lit(1)).alias("n"))
+        both = weighted_lookup(
+            attached(wanted, left, "left_id", "right_id"), right.join(asked, "right_id"), ["right_id"], "n", "left_id"
+        )
         dot = pair_dot(F.col("left_terms"), F.col("right_terms"))
         overlap = pair_overlap(F.col("left_terms"), F.col("right_terms"))
         norms = norm_product("left_sq", "right_sq")

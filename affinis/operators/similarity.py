@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinis.functions import vectors as V
+from affinis.operators.joins import attached, weighted_lookup
 from affinis.operators.topk import check_k, top_k
 from affinis.session import fits_broadcast, salts, written
 
@@ -217,7 +218,14 @@ def distinct_profiles(vectors: DataFrame, entity: str) -> DataFrame:
 
 def profile_members(vectors: DataFrame, profiles: DataFrame, entity: str) -> DataFrame:
     """(profile, entity): which entities share each distinct vector."""
-    return vectors.select(entity, "terms").join(profiles.select("terms", "profile"), "terms").select("profile", entity)
+    # The hash stands for the vector where heavy keys are listed; the vector itself decides.
+    rows = vectors.select(entity, "terms", F.xxhash64("terms").alias("mark"))
+    marked = profiles.select("terms", "profile", "n_members", F.xxhash64("terms").alias("mark"))
+    sized = marked.groupBy("mark").agg(
+        F.sum("n_members").alias("n"), F.collect_list(F.struct("terms", "profile")).alias("same_mark")
+    )
+    found = weighted_lookup(rows, sized, ["mark"], "n", entity).withColumn("p", F.explode("same_mark"))
+    return found.filter(F.col("p.terms") == F.col("terms")).select(F.col("p.profile").alias("profile"), entity)
 
 
 def _marks(terms: Column) -> Column:
@@ -260,7 +268,7 @@ def similar_profiles(profiles: DataFrame, min_score: float) -> DataFrame:
     rest = Window.partitionBy("profile").orderBy("df", "token").rowsBetween(0, Window.unboundedFollowing)
     slack = 1 - 1e-9
     heads = (
-        terms.join(frequency, "token")
+        weighted_lookup(terms, frequency, ["token"], "df", "profile")
         .withColumn("tail", F.sum(F.col("cnt") * F.col("cnt")).over(rest) / F.col("sq"))
         .filter(F.col("tail") >= min_score * min_score * slack)
         .withColumn("n_salts", F.ceil(F.col("df") / HOT_TOKEN_ROWS).cast("int"))
@@ -278,7 +286,7 @@ def similar_profiles(profiles: DataFrame, min_score: float) -> DataFrame:
         *[F.col(c).alias(f"r_{c}") for c in ("tail", "marks", "sq")],
         F.explode(F.sequence(F.lit(0), F.col("n_salts") - 1)).alias("salt"),
     )
-    candidates = (
+    candidates = written(
         left.join(right, ["token", "salt"])
         .filter(
             (F.col("l") != F.col("r"))
@@ -286,7 +294,8 @@ def similar_profiles(profiles: DataFrame, min_score: float) -> DataFrame:
             & (_kept_share("l", "r") * _kept_share("r", "l") >= needed)
         )
         .select(F.least("l", "r").alias("left_id"), F.greatest("l", "r").alias("right_id"))
-        .distinct()
+        .distinct(),
+        "candidates",
     )
 
     def side(prefix: str) -> DataFrame:
@@ -303,9 +312,11 @@ def similar_profiles(profiles: DataFrame, min_score: float) -> DataFrame:
         plain, F.size(F.array_intersect("left_tokens", "right_tokens")).cast("bigint")
     ).otherwise(pair_dot(F.col("left_terms"), F.col("right_terms")))
     score = F.col("dot") / norm_product("left_sq", "right_sq")
+    with_left = attached(candidates, side("left"), "left_id", "right_id")
+    right_ids = candidates.groupBy("right_id").agg(F.count(F.lit(1)).alias("n"))
+    rights = side("right").join(right_ids, "right_id")
     return (
-        candidates.join(side("left"), "left_id")
-        .join(side("right"), "right_id")
+        weighted_lookup(with_left, rights, ["right_id"], "n", "left_id")
         .select("left_id", "right_id", "left_sq", "right_sq", dot.alias("dot"))
         .select("left_id", "right_id", score.alias("score"))
         .filter(F.col("score") >= min_score)

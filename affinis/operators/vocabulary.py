@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from affinis.functions.stem import add_stem
 from affinis.functions.text import tokens
+from affinis.operators.joins import salted_lookup, weighted_lookup
 from affinis.operators.ordering import positions
 
 TOP_TOKENS = 20
@@ -34,15 +35,17 @@ def token_counts(df: DataFrame, entity: str, text: str) -> DataFrame:
 
 
 def stemmed_counts(counts: DataFrame, entity: str) -> DataFrame:
-    """Counts of stems. Every distinct token is stemmed once, then joined back.
-
-    Spark chooses the join by the measured size of the distinct tokens. Within
-    an entity each token is one row, so a common word counts once per entity.
-    """
-    words = counts.select("token").filter(F.col("token").isNotNull()).distinct()
+    """Counts of stems. Every distinct token is stemmed once, then looked up by its rows."""
+    words = (
+        counts.filter(F.col("token").isNotNull()).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    )
+    stems = add_stem(words, "token", "stem")
+    known = weighted_lookup(counts.filter(F.col("token").isNotNull()), stems, ["token"], "df", entity)
+    empty = counts.filter(F.col("token").isNull())  # texts without a token
     return (
-        counts.join(add_stem(words, "token", "stem"), "token", "left")
-        .groupBy(entity, F.col("stem").alias("token"))
+        known.select(entity, F.col("stem").alias("token"), "cnt")
+        .unionByName(empty)
+        .groupBy(entity, "token")
         .agg(F.sum("cnt").alias("cnt"))
     )
 
@@ -95,13 +98,9 @@ def fit_vocabulary(
 
 
 def known_counts(counts: DataFrame, vocabulary: DataFrame, entity: str) -> DataFrame:
-    """Counts restricted to a frozen vocabulary; entities stay, with a NULL token if need be.
-
-    The vocabulary is looked up by an ordinary join: Spark broadcasts it when
-    its measured size allows.
-    """
+    """Counts restricted to a frozen vocabulary; entities stay, with a NULL token if need be."""
     words = vocabulary.select("token", F.lit(True).alias("__known"))
-    return counts.join(words, "token", "left").select(
+    return salted_lookup(counts, words, ["token"], entity, "left").select(
         entity,
         F.when(F.col("__known"), F.col("token")).alias("token"),
         F.when(F.col("__known"), F.col("cnt")).otherwise(F.lit(0)).alias("cnt"),
@@ -140,7 +139,8 @@ def require_tokens(vocabulary: DataFrame) -> None:
 def indexed_terms(vectors: DataFrame, vocabulary: DataFrame, entity: str) -> DataFrame:
     """Long sparse matrix (entity, idx, token, cnt)."""
     terms = vectors.select(entity, F.inline("terms"))
-    return terms.join(vocabulary.select("token", "idx"), "token").select(entity, "idx", "token", "cnt")
+    known = vocabulary.select("token", "idx")
+    return salted_lookup(terms, known, ["token"], entity).select(entity, "idx", "token", "cnt")
 
 
 def density(counts: DataFrame, entity: str) -> DataFrame:

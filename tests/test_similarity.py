@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from affinis.functions import vectors as V
+from affinis.operators import joins
 from affinis.operators import similarity as sim
 from affinis.operators import topk
 from affinis.operators import vocabulary as voc
@@ -63,6 +64,21 @@ def test_vocabulary(corpus):
         voc.require_tokens(voc.fit_vocabulary(tokens, min_df=99))
 
 
+@pytest.mark.parametrize("per_salt", [2, 100_000])
+def test_lookups_with_a_heavy_key(spark, monkeypatch, per_salt):
+    monkeypatch.setattr(joins, "ROWS_PER_SALT", per_salt)
+    monkeypatch.setattr(joins, "HEAVY_KEYS", 2)
+    rows = spark.range(300).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7).alias("k"))
+    table = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.concat(F.lit("k"), "k"))
+    expected = sorted(rows.join(table, "k").select("id", "name").collect())
+    assert sorted(joins.weighted_lookup(rows, table, ["k"], "n", "id").select("id", "name").collect()) == expected
+    if per_salt == 2:
+        monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
+    some = table.filter("k <> 0").select("k", "name")
+    got = joins.salted_lookup(rows, some, ["k"], "id", "left")
+    assert got.count() == 300 and got.filter("name IS NULL").count() == rows.filter("k = 0").count()
+
+
 def test_frozen_vocabulary(spark):
     fit = spark.createDataFrame([(1, "nordeste rn"), (2, "sudeste sp")], "id int, text string")
     vocabulary = voc.fit_vocabulary(voc.token_counts(fit, "id", "text"))
@@ -129,6 +145,7 @@ def test_nearest_in_other_groups(spark, vectors, k):
 @pytest.mark.parametrize("min_score", [0.05, 0.3, 0.5, 0.8, 1.0])
 def test_similar_profiles(spark, min_score, monkeypatch):
     monkeypatch.setattr(sim, "HOT_TOKEN_ROWS", 3)  # several salts per token
+    monkeypatch.setattr(joins, "ROWS_PER_SALT", 4)
     texts = [" ".join(f"t{(i * p) % m}" for p, m in ((1, 5), (3, 7), (5, 11), (7, 13), (2, 4))) + " common" for i in range(60)]
     texts += texts[:10]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
