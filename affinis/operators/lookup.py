@@ -237,7 +237,7 @@ def search(
     ``max_results`` is filled up with fuzzy hits, best first, each (name, group)
     once.
     """
-    exact = substring_hits(queries, entities, max_results, spec)
+    exact = written(substring_hits(queries, entities, max_results, spec), "substring")
     counts = exact.groupBy("query_id").agg(F.count(F.lit(1)).alias("__n"))
     short = (
         queries.join(counts, "query_id", "left")

@@ -13,7 +13,7 @@ from affinis.operators.joins import attached, weighted_lookup
 from affinis.operators.quality import consistency, require_columns
 from affinis.operators.similarity import nearest, norm_product, pair_dot, pair_overlap
 from affinis.operators.topk import DEFAULT_K, check_k
-from affinis.operators.vocabulary import fit_vocabulary, term_vectors
+from affinis.operators.vocabulary import count_vectors, fit_vocabulary, known_counts, term_vectors, text_counts
 from affinis.session import written
 from affinis.spec import LIVESTOCK, ProfileSpec
 
@@ -48,10 +48,6 @@ class ProfileIndex:
         """(token, idx, tf, df) of the vectors."""
         return fit_vocabulary(self.vectors.select(self.spec.entity, F.inline("terms")))
 
-    def known_words(self) -> DataFrame:
-        """The known tokens, for lookups that need no index."""
-        return self.vectors.select(F.explode("terms.token").alias("token")).distinct()
-
     def check(self) -> None:
         """Raise when features and vectors do not hold the same entities."""
         consistency(self.features, self.vectors, self.spec.entity, strict=True)
@@ -105,7 +101,10 @@ class ProfileIndex:
         return self._transformed(queries).select("query_id", status.alias("status"), F.col("l1").alias("n_tokens"))
 
     def explain(self, pairs: DataFrame) -> DataFrame:
-        """Metrics on the vectors, and tokens of the raw texts, for (left_id, right_id) pairs."""
+        """Metrics on the vectors, and tokens of the raw texts, for (left_id, right_id) pairs.
+
+        ``pairs`` is read several times: pass a loaded or written table.
+        """
         left, right = self._side("left"), self._side("right")
         wanted = pairs.select("left_id", "right_id")
         asked = wanted.groupBy("right_id").agg(F.count(F.lit(1)).alias("n"))
@@ -139,7 +138,12 @@ class ProfileIndex:
         return vectors.join(self.features.select(self.spec.entity, self.spec.group), self.spec.entity)
 
     def _transformed(self, queries: DataFrame) -> DataFrame:
-        return term_vectors(queries, "query_id", "text", self.stemming, self.known_words())
+        """Vectors of free texts. Which of their tokens are known takes one scan of the index."""
+        counts = text_counts(queries, "query_id", "text", self.stemming)
+        asked = lookup.small(counts.select("token").distinct())
+        held = self.vectors.select(F.explode("terms.token").alias("token"))
+        known = written(held.join(asked, "token", "left_semi").distinct(), "known")
+        return count_vectors(known_counts(counts, known, "query_id"), "query_id")
 
     def _by_resolved(self, resolved: DataFrame, k: int, other_groups_only: bool) -> DataFrame:
         found = written(
@@ -163,8 +167,9 @@ class ProfileIndex:
         )
 
     def _described(self, best: DataFrame) -> DataFrame:
-        """Attributes for the few rows kept: k per query, so the shuffle of the features is pruned by it."""
+        """Attributes for the rows kept, k per query; they are written so that the search runs once."""
         spec = self.spec
+        best = written(best, "best")
         shown = [c for c in (spec.name, *spec.context, spec.specialty, spec.text) if c in self.features.columns]
         return self.features.select(spec.entity, *dict.fromkeys(shown)).join(lookup.small(best), spec.entity)
 

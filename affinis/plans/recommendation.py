@@ -288,7 +288,7 @@ def text_query_status(spark, sf):
 )
 def explain_best_match(spark, sf):
     built = index(spark, sf)
-    best = built.by_entity(leading_customers(spark, sf), 1)
+    best = written(built.by_entity(leading_customers(spark, sf), 1), "pairs")
     pairs = best.select(F.col("query_id").alias("left_id"), F.col(ENTITY).alias("right_id"))
     return built.explain(pairs).withColumns(
         {c: F.round(c, 6) for c in ("cosine", "euclidean")}
