@@ -35,7 +35,7 @@ def split_points(df: DataFrame, key: Sequence[str], spread: Sequence[str], range
     """
     ranges = ranges or shuffle_partitions(df.sparkSession)
     want = ranges * SAMPLE_PER_RANGE
-    drawn = df.orderBy(F.xxhash64(*spread)).limit(want).select(*key).collect()
+    drawn = df.dropna(subset=list(key)).orderBy(F.xxhash64(*spread)).limit(want).select(*key).collect()
     if len(drawn) < want:
         return []
     drawn.sort()
@@ -87,7 +87,7 @@ def positions(
     name: str = "position",
     ranges: int | None = None,
 ) -> DataFrame:
-    """Number the rows of each group from 0 in the order of a unique key."""
+    """Number the rows of each group from 0 in the order of a unique key. Groups are not NULL."""
     groups, order = list(groups), list(order)
     key = groups + order
     splits = split_points(df, key, key, ranges)

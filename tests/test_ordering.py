@@ -53,3 +53,9 @@ def test_quantiles(rows, ranges):
     plain = rows.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(s) for s in shares])).alias("q")).collect()
     expected = {(r["g"], s): q for r in plain for s, q in zip(shares, r["q"], strict=True)}
     assert got == pytest.approx(expected)
+
+
+def test_missing_key_comes_first(spark):
+    df = spark.range(400).select(F.when(F.col("id") != 200, F.col("id")).alias("id"))
+    got = {r["id"]: r["position"] for r in ordering.positions(df, ["id"], ranges=8).collect()}
+    assert got[None] == 0 and got[0] == 1 and got[399] == 399
