@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
-from affinis.llm import decontaminate, simhash, topk, warc
+from affinis.llm import bpe, decontaminate, simhash, substring, topk, warc
 from affinis.llm.registry import query, table
 
 #: Distinct five-word shingles of a text as list; the words are runs of letters and digits.
@@ -23,6 +25,18 @@ def op1(spark, sf):
     return decontaminate.contained_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+#: File of the tokenizer; every executor has it at this place.
+TOKENIZER = os.environ.get("WORD_BPE_FILE", "/opt/tokenizers/word_bpe_49k.json")
+
+
+@query("op3_bpe")
+def op3(spark, sf):
+    coded = bpe.coded(table(spark, sf, "documents"), TOKENIZER)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
 SQL_WARC = """WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest,
   min(page_id) OVER (PARTITION BY html) AS least FROM p)
@@ -50,6 +64,22 @@ def op6(spark, sf):
     return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), 5)
 
 
+SQL_SUBSTRING = r"""WITH d AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS MATERIALIZED (SELECT r, i, array_to_string(w[i:i + 34], ' ') AS s FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+again AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, i + j AS p FROM win JOIN again USING (s) CROSS JOIN range(0, 35) AS t(j)),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""
+
+
+@query("op8_substring_dedup", SQL_SUBSTRING)
+def op8(spark, sf):
+    found = substring.without_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op10_simhash")
 def op10(spark, sf):
     return simhash.components(table(spark, sf, "documents"))
