@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from affinis.llm import bpe, decontaminate, simhash, substring, topk, warc
+from affinis.llm import bpe, decontaminate, simhash, substring, topk, toxicity, warc
 from affinis.llm.registry import query, table
 
 #: Distinct five-word shingles of a text as list; the words are runs of letters and digits.
@@ -80,6 +80,13 @@ def op8(spark, sf):
     return found.select("row.doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op9_toxicity")
+def op9(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = toxicity.fit(docs, table(spark, sf, "labels"))
+    return toxicity.scored(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", toxicity.predicted().alias("predicted"))
+
+
 @query("op10_simhash")
 def op10(spark, sf):
     return simhash.components(table(spark, sf, "documents"))
