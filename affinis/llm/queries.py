@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from affinis.llm import bpe, decontaminate, simhash, substring, topk, toxicity, warc
+from affinis.llm import bpe, decontaminate, html_text, simhash, substring, topk, toxicity, warc
 from affinis.llm.registry import query, table
 
 #: Distinct five-word shingles of a text as list; the words are runs of letters and digits.
@@ -64,6 +64,12 @@ def op6(spark, sf):
     return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), 5)
 
 
+@query("op7_main_text")
+def op7(spark, sf):
+    pages = table(spark, sf, "pages")
+    return html_text.extracted(pages, html_text.fit(pages))
+
+
 SQL_SUBSTRING = r"""WITH d AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 win AS MATERIALIZED (SELECT r, i, array_to_string(w[i:i + 34], ' ') AS s FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
 again AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
