@@ -3,7 +3,8 @@
 A page is a sequence of words and tags. Words score positive, each as much as words
 in such an element lie in the content of labelled pages; tags score negative, the
 more the rarer they are in content. The contiguous stretch of the largest sum, found
-in one scan, is the content region. Its blocks are the text; elements that are never
+in one scan, is the content region. Its blocks are the text, with all blocks of an
+article or main element that it reaches into; elements that are never
 content (menus, adverts, notices, forms, comments and the like) score nothing in it
 and are left out of it.
 """
@@ -69,16 +70,16 @@ class Piece:
     text: str  # empty for a tag
     block: int  # pieces of one block are one line of text
     boiler: bool
-    content: bool  # in an element that labels its words as content
+    content: int  # number of the outermost element that labels its words as content; 0: none
 
 
 def pieces(page: str) -> list[Piece]:
     out: list[Piece] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, boiler, content
-    block = 0
+    stack: list[tuple[str, bool, int]] = []  # name, boiler, content
+    block = marked = 0
     for found in TOKEN.finditer(page):
         raw, script, closing, name = found[0], found[1], found[2], found[3]
-        boiler, content = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        boiler, content = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
         if script:
             out.append(Piece(f"<{script.lower()}>", "", block, True, content))
         elif name:
@@ -92,9 +93,12 @@ def pieces(page: str) -> list[Piece]:
             elif name not in VOID and not raw.endswith("/>"):
                 if name not in INLINE and stack and stack[-1][0] == "p":
                     stack.pop()
-                boiler, content = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-                boiler = boiler or is_boiler(name, found[4], content)
-                content = (content or name in CONTENT_TAGS) and not boiler
+                boiler, content = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+                boiler = boiler or is_boiler(name, found[4], content > 0)
+                if boiler:
+                    content = 0
+                elif name in CONTENT_TAGS and not content:
+                    content = marked = marked + 1
                 if name not in INLINE or boiler != (bool(stack) and stack[-1][1]):
                     stack.append((name, boiler, content))
             out.append(Piece(f"<{name}>", "", block, boiler, content))
@@ -136,7 +140,8 @@ def main_text(page: str | None, weights: Weights) -> str:
     first, last = region([weights.of(p) for p in found])
     if first == last:
         return ""
-    blocks = {p.block for p in found[first:last] if p.text and not p.boiler}
+    marked = {p.content for p in found[first:last] if p.content and p.text}  # such an element counts as a whole
+    blocks = {p.block for i, p in enumerate(found) if p.text and not p.boiler and (first <= i < last or p.content in marked)}
     lines: dict[int, list[str]] = {}
     for p in found:
         if p.block in blocks and not p.boiler:
@@ -153,7 +158,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for p in pieces(page):
                 if p.boiler:  # scores nothing anyhow, and would only say that lists or links are rare in content
                     continue
-                key = (p.feature, p.content)
+                key = (p.feature, p.content > 0)
                 total[key] = total.get(key, 0) + (len(p.text.split()) if p.text else 1)
     yield pa.RecordBatch.from_arrays(
         [pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.bool_()), pa.array(list(total.values()), pa.int64())],
