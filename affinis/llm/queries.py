@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from affinis.llm import bpe, decontaminate, html_text, simhash, substring, topk, toxicity, warc
+from affinis.llm import bpe, chat, decontaminate, html_text, simhash, substring, topk, toxicity, warc
 from affinis.llm.registry import query, table
 
 #: Distinct five-word shingles of a text as list; the words are runs of letters and digits.
@@ -25,6 +25,11 @@ def op1(spark, sf):
     return decontaminate.contained_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@query("op2_chat_format")
+def op2(spark, sf):
+    return chat.repaired(table(spark, sf, "conversations"))
+
+
 #: File of the tokenizer; every executor has it at this place.
 TOKENIZER = os.environ.get("WORD_BPE_FILE", "/opt/tokenizers/word_bpe_49k.json")
 

@@ -1,28 +1,64 @@
-"""From raw documents to encoded ones: every stage is one of the operators in ``affinis.llm``."""
+"""From raw documents to encoded ones; every stage applies one of the operators in ``affinis.llm``.
+
+1. toxicity: documents that score as toxic go.
+2. SimHash near-dedup: of each component of near copies the document of the smallest id stays.
+3. Substring dedup: passages of 35 words or more that occur again are cut out.
+4. Benchmark decontamination: documents that hold a test item go.
+5. BPE: the ids of what is left.
+
+Each stage works on all that the one before it kept. Any table may be empty; nulls and
+repeated rows are treated as the operators' docstrings say.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import simhash
+from affinis.llm import bpe, decontaminate, simhash, substring, toxicity
+from affinis.llm.queries import TOKENIZER
 from affinis.llm.registry import table
 from affinis.llm.scratch import Scratch
 
 
-def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies."""
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.one_of_each(docs)
 
 
-STAGES = [("simhash_near_dedup", simhash_near_dedup)]
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substring.cleaned(docs)
+
+
+def drop_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.without_items(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids): ids as little-endian unsigned 32-bit numbers."""
+    return bpe.coded(docs, TOKENIZER).drop("decoded")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_copies),
+    ("substring_dedup", cut_repeated_passages),
+    ("benchmark_decontamination", drop_benchmark_items),
+    ("bpe", encode),
+]
 
-#: SQL has no XXH64, no components and no tokenizer; the stages are tested one by one.
+#: SQL has no learned scores, no XXH64 and no tokenizer; the tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = scratch.written(stage(spark, docs, sf_dir), name)
+        if before:
+            scratch.drop(before)
+        before = name
     return docs
