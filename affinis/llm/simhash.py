@@ -190,7 +190,7 @@ def links(prints: DataFrame, scratch: Scratch, distance: int = DISTANCE) -> Data
     share = min(1.0, 2 * SAMPLE / max(1, total))
     drawn = prints.filter(F.pmod(F.xxhash64("print"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).limit(SAMPLE).collect()
     sample = np.array([r.print for r in drawn] or [0], np.int64).view(np.uint64)
-    groups = plan_probes(sample, total, distance)
+    groups = plan_probes(sample, max(1, total), distance)
     own, probing = [], []
     for g, (bits, most) in enumerate(groups):
         mask = _signed(sum(1 << b for b in bits))
