@@ -13,11 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinis.session import fits_broadcast, salts
+from affinis.session import fits_broadcast
 
-HEAVY_KEYS = 1_000
 ROWS_PER_SALT = 100_000
-LOOKUP_SALTS = 16
+#: A key is heavy from the larger of ROWS_PER_SALT and this share of all rows, so there are at most as many heavy keys.
+MOST_HEAVY = 100_000
 SALT, SALTS = "__lookup_salt", "__lookup_salts"
 
 
@@ -26,17 +26,14 @@ def weighted_lookup(
 ) -> DataFrame:
     """Join with a table that knows how many rows each key has (column ``weight``).
 
-    The heaviest keys, a thousand at most, are sent to every task; they tell
-    how many salts a key gets. A key that is not among them holds less than a
-    thousandth of the rows.
+    Every heavy key gets as many salts as its counted rows need. The list of heavy
+    keys is bounded at any size, as each holds a share of all rows, and is sent to
+    every task.
     """
     on = list(on)
-    heavy = (
-        table.filter(F.col(weight) > ROWS_PER_SALT)
-        .orderBy(F.desc(weight), *on)
-        .limit(HEAVY_KEYS)
-        .select(*on, F.ceil(F.col(weight) / ROWS_PER_SALT).cast("int").alias(SALTS))
-    )
+    total = table.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("t")).first().t
+    share = max(ROWS_PER_SALT, total // MOST_HEAVY)
+    heavy = table.filter(F.col(weight) > share).select(*on, F.ceil(F.col(weight) / share).cast("int").alias(SALTS))
     count = F.coalesce(F.col(SALTS), F.lit(1))
     many = rows.join(F.broadcast(heavy), on, "left").withColumn(SALT, F.pmod(F.xxhash64(spread), count).cast("int"))
     unique = table.join(F.broadcast(heavy), on, "left").withColumn(SALT, F.explode(F.sequence(F.lit(0), count - 1)))
@@ -46,14 +43,15 @@ def weighted_lookup(
 def salted_lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], spread: str, how: str = "inner") -> DataFrame:
     """Join with a table that knows nothing about the rows, which may have heavy keys it lacks.
 
-    The table is broadcast when a count shows that it is small; otherwise it is
-    repeated for a few salts.
+    The table is broadcast when its measured size is small; otherwise the rows' keys
+    are counted and the heavy ones are spread (see :func:`weighted_lookup`).
     """
     on = list(on)
     if fits_broadcast(table):
         return rows.join(F.broadcast(table), on, how)
-    many = rows.withColumn(SALT, F.pmod(F.xxhash64(spread), F.lit(LOOKUP_SALTS)).cast("int"))
-    return many.join(table.withColumn(SALT, F.explode(salts(LOOKUP_SALTS))), [*on, SALT], how).drop(SALT)
+    sizes = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+    known = sizes.join(table, on, "left" if how == "left" else "inner")  # a heavy key the table lacks is spread too
+    return weighted_lookup(rows, known, on, "__n", spread, how).drop("__n")
 
 
 def attached(rows: DataFrame, table: DataFrame, key: str, spread: str) -> DataFrame:

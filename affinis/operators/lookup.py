@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import difflib
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,23 +32,23 @@ def resolve_names(
 ) -> DataFrame:
     """Resolve (query_id, name, group) to one entity each.
 
-    Gives query_id, status, entity id and the groups that hold the name. A NULL
-    group means any. ``suggest`` adds up to five ``suggestions`` (name, group)
+    Gives query_id, status, entity id and the groups that hold the name (an entity
+    without group: empty). A NULL group in a query means any. ``suggest`` adds up to five ``suggestions`` (name, group)
     for names not found.
     """
     wanted = queries.select("query_id", name_key(F.col("name")).alias("__key"), F.upper("group").alias("__group"))
-    known = entities.select(spec.entity, F.lower(spec.name).alias("__key"), F.col(spec.group).alias("__in"))
+    # A name that very many entities share is counted before it meets a query.
+    known = entities.groupBy(F.lower(spec.name).alias("__key"), F.col(spec.group).alias("__in")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(spec.entity).alias("first")
+    )
     hits = (
-        salted_lookup(known, wanted, ["__key"], spec.entity)
+        salted_lookup(known, wanted, ["__key"], "__in")
         .filter(F.col("__group").isNull() | (F.col("__group") == F.col("__in")))
-        # A name that very many entities share is counted before it moves.
-        .groupBy("query_id", "__in")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(spec.entity).alias("first"))
         .groupBy("query_id")
         .agg(
             F.sum("n").alias("n_matches"),
             F.min("first").alias("__id"),
-            F.array_sort(F.collect_list("__in")).alias("groups"),
+            F.array_sort(F.collect_list(F.coalesce("__in", F.lit("")))).alias("groups"),
         )
     )
     status = (
@@ -102,8 +99,8 @@ def resolve_codes(
 def resolve_references(
     queries: DataFrame, entities: DataFrame, spec: ProfileSpec = LIVESTOCK, strict: bool = False
 ) -> DataFrame:
-    """Resolve (query_id, ref, group): digits are a code, anything else a name."""
-    is_code = F.col("ref").rlike("^[0-9]+$")
+    """Resolve (query_id, ref, group): digits are a code, anything else a name, NULL is invalid."""
+    is_code = F.col("ref").isNull() | F.col("ref").rlike("^[0-9]+$")
     kept = ["query_id", "ref", "status", spec.entity]
     codes = resolve_codes(queries.filter(is_code).withColumn("code", F.col("ref")), entities, spec)
     names = resolve_names(queries.filter(~is_code).withColumn("name", F.col("ref")), entities, spec)
@@ -163,17 +160,6 @@ def _letters(text: Column) -> Column:
     )
 
 
-def _ratio_udf():
-    @F.pandas_udf("double")
-    def ratio(names: pd.Series, parts: pd.Series) -> pd.Series:
-        return pd.Series(
-            [difflib.SequenceMatcher(None, name, part).ratio() for name, part in zip(names, parts, strict=True)],
-            dtype="float64",
-        )
-
-    return ratio
-
-
 def fuzzy_hits(
     queries: DataFrame,
     entities: DataFrame,
@@ -181,45 +167,41 @@ def fuzzy_hits(
     spec: ProfileSpec = LIVESTOCK,
     cutoff: float = FUZZY_CUTOFF,
 ) -> DataFrame:
-    """Per (query_id, part) the ``limit`` distinct names with the best matching-block ratio.
+    """Per (query_id, part) the ``limit`` distinct names closest in edit distance.
 
-    The ratio is twice the matched letters over all letters, at least
-    ``cutoff``. Two texts that reach it share so many letters that they must
-    share one in the head of both sorted letter lists; heads are joined, and the
-    counted letters tested in the join, before the ratio itself is computed.
+    The ratio is one less the edit distance over the longer length, at least
+    ``cutoff``. An edit takes one letter from the longer text at most, so texts that
+    reach the cutoff share that part of the longer one's letters: their lengths are
+    near each other, and they share a letter in the head of both sorted letter lists.
+    Names are joined by such a letter and their length; the distance is then tested.
     Nothing that reaches the cutoff is lost.
     """
-    least_share = cutoff / (2.0 - cutoff)  # of one text's letters, whatever the other's length
 
     def heads(df: DataFrame, text: str, prefix: str) -> DataFrame:
         # Repeated letters first: they are rarer than single ones.
-        sorted_letters = F.sort_array(_letters(F.col(text)), asc=False)
         size = F.size(f"{prefix}_letters")
-        kept = size - F.ceil(size * least_share - 1e-9) + 1
+        kept = size - F.ceil(size * cutoff - 1e-9) + 1
         return (
             df.filter(F.length(text) > 0)
-            .withColumn(f"{prefix}_letters", sorted_letters)
+            .withColumn(f"{prefix}_letters", F.sort_array(_letters(F.col(text)), asc=False))
             .withColumn(f"{prefix}_head", F.slice(f"{prefix}_letters", 1, kept.cast("int")))
             .withColumn("letter", F.explode(f"{prefix}_head"))
         )
 
     names = entities.select(spec.name).distinct()
-    held = heads(names, spec.name, "n")
-    wanted = heads(queries.filter(F.length(name_key(F.col("part"))) > 0).select("query_id", "part"), "part", "q")
-    common = F.array_intersect("n_letters", "q_letters")
-    total = F.size("n_letters") + F.size("q_letters")
-    candidates = (
-        salted_lookup(held, wanted, ["letter"], spec.name)
-        .filter(
-            (2 * F.least(F.size("n_letters"), F.size("q_letters")) >= cutoff * total - 1e-9)
-            # The pair meets once, at the first letter both heads hold.
-            & (F.array_intersect("n_head", "q_head")[0] == F.col("letter"))
-            & (2 * F.size(common) >= cutoff * total - 1e-9)
-        )
-        .select("query_id", "part", spec.name)
-    )
-    rated = candidates.withColumn("ratio", _ratio_udf()(F.col(spec.name), F.col("part"))).filter(
-        F.col("ratio") >= cutoff
+    held = heads(names, spec.name, "n").withColumn("length", F.length(spec.name))
+    asked = heads(queries.filter(F.length(name_key(F.col("part"))) > 0).select("query_id", "part"), "part", "q")
+    own = F.length("part")
+    lengths = F.sequence(F.ceil(own * cutoff - 1e-9).cast("int"), F.floor(own / cutoff + 1e-9).cast("int"))
+    wanted = asked.withColumn("length", F.explode(lengths))
+    longer = F.greatest(F.length(spec.name), F.length("part"))
+    rated = (
+        salted_lookup(held, wanted, ["letter", "length"], spec.name)
+        # The pair meets once, at the first letter both heads hold.
+        .filter(F.array_intersect("n_head", "q_head")[0] == F.col("letter"))
+        .filter(F.size(F.array_intersect("n_letters", "q_letters")) >= cutoff * longer - 1e-9)
+        .select("query_id", spec.name, (1 - F.levenshtein(spec.name, "part") / longer).alias("ratio"))
+        .filter(F.col("ratio") >= cutoff - 1e-9)
     )
     return _first(rated, limit, [F.desc("ratio"), F.desc(spec.name)]).select("query_id", spec.name, "ratio")
 
@@ -249,8 +231,10 @@ def search(
         salted_lookup(entities, hits, [spec.name], spec.entity)
         .groupBy("query_id", spec.name, spec.group)
         .agg(F.min(spec.entity).alias(spec.entity), F.max("ratio").alias("ratio"))
-        .join(exact.select("query_id", spec.name, spec.group).distinct(), ["query_id", spec.name, spec.group], "left_anti")
     )
+    told = exact.select(*[F.col(c).alias(f"__{c}") for c in ("query_id", spec.name, spec.group)]).distinct()
+    same = (F.col("query_id") == F.col("__query_id")) & (F.col(spec.name) == F.col(f"__{spec.name}"))
+    close = close.join(told, same & F.col(spec.group).eqNullSafe(F.col(f"__{spec.group}")), "left_anti")
     both = exact.select("query_id", spec.entity, spec.name, spec.group).withColumns(
         {"stage": F.lit("substring"), "ratio": F.lit(None).cast("double")}
     ).unionByName(close.withColumn("stage", F.lit("fuzzy")))

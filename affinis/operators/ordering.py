@@ -27,19 +27,24 @@ RANGE, SALT = "__range", "__salt"
 
 
 def split_points(df: DataFrame, key: Sequence[str], spread: Sequence[str], ranges: int | None = None) -> list:
-    """At most ``ranges`` - 1 increasing keys from the rows with the smallest hash.
+    """At most ``ranges`` - 1 increasing keys from a sample of rows drawn by hash.
 
-    ``spread`` are the columns to hash, best a unique key. The driver holds the
-    sample, whose size depends on ``ranges`` alone. No rows are returned when
-    the input is smaller than the sample: one range will do.
+    ``spread`` are the columns to hash, best a unique key. A count tells which share
+    of the hashes gives about the sample wanted, so what the tasks send to the driver
+    depends on ``ranges`` alone, not on the number of partitions. No rows are returned
+    for an input smaller than the sample: one range will do.
     """
     ranges = ranges or shuffle_partitions(df.sparkSession)
     want = ranges * SAMPLE_PER_RANGE
-    drawn = df.dropna(subset=list(key)).orderBy(F.xxhash64(*spread)).limit(want).select(*key).collect()
-    if len(drawn) < want:
+    whole = df.dropna(subset=list(key))
+    total = whole.count()
+    if total < want:
+        return []
+    drawn = whole.filter(F.pmod(F.xxhash64(*spread), F.lit(total // want)) == 0).select(*key).collect()
+    if not drawn:  # equal hashes throughout: one value fills the table
         return []
     drawn.sort()
-    return sorted({drawn[i * want // ranges] for i in range(1, ranges)})
+    return sorted({drawn[i * len(drawn) // ranges] for i in range(1, ranges)})
 
 
 def in_ranges(df: DataFrame, key: Sequence[str], splits: list) -> DataFrame:

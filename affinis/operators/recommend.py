@@ -33,6 +33,7 @@ class ProfileIndex:
     vectors: DataFrame
     spec: ProfileSpec = LIVESTOCK
     stemming: bool = True
+    fitted: DataFrame | None = None  # the vocabulary, where it was saved with the vectors
 
     @classmethod
     def build(cls, features: DataFrame, spec: ProfileSpec = LIVESTOCK, stemming: bool = True) -> ProfileIndex:
@@ -46,6 +47,8 @@ class ProfileIndex:
     @property
     def vocabulary(self) -> DataFrame:
         """(token, idx, tf, df) of the vectors."""
+        if self.fitted is not None:
+            return self.fitted
         return fit_vocabulary(self.vectors.select(self.spec.entity, F.inline("terms")))
 
     def check(self) -> None:
@@ -72,13 +75,21 @@ class ProfileIndex:
         best = nearest(asked, vectors, k, "query_id", spec.entity, exclude_self=True, group=group)
         return self._described(best)
 
-    def by_name(self, queries: DataFrame, k: int = DEFAULT_K, other_groups_only: bool = False) -> DataFrame:
-        """As :meth:`by_entity` for (query_id, name, group); unresolved names give no rows."""
-        return self._by_resolved(lookup.resolve_names(queries, self.features, self.spec), k, other_groups_only)
+    def by_name(
+        self, queries: DataFrame, k: int = DEFAULT_K, other_groups_only: bool = False, strict: bool = False
+    ) -> DataFrame:
+        """As :meth:`by_entity` for (query_id, name, group).
 
-    def by_code(self, queries: DataFrame, k: int = DEFAULT_K, other_groups_only: bool = False) -> DataFrame:
-        """As :meth:`by_entity` for (query_id, code)."""
-        return self._by_resolved(lookup.resolve_codes(queries, self.features, self.spec), k, other_groups_only)
+        Unresolved names give no rows (``lookup.resolve_names`` tells their status), or
+        an error in strict mode.
+        """
+        return self._by_resolved(lookup.resolve_names(queries, self.features, self.spec, strict=strict), k, other_groups_only)
+
+    def by_code(
+        self, queries: DataFrame, k: int = DEFAULT_K, other_groups_only: bool = False, strict: bool = False
+    ) -> DataFrame:
+        """As :meth:`by_entity` for (query_id, code); unresolved codes as in :meth:`by_name`."""
+        return self._by_resolved(lookup.resolve_codes(queries, self.features, self.spec, strict=strict), k, other_groups_only)
 
     def by_text(self, queries: DataFrame, k: int = DEFAULT_K, strict: bool = False) -> DataFrame:
         """The k most similar entities of a free profile text (query_id, text).
@@ -132,6 +143,19 @@ class ProfileIndex:
             )
         )
 
+    def explain_references(self, pairs: DataFrame, strict: bool = True) -> DataFrame:
+        """As :meth:`explain` for (query_id, left_ref, left_group, right_ref, right_group): names or codes.
+
+        A reference without a single entity is an error, or its pair gives no row.
+        """
+        found = None
+        for side in ("left", "right"):
+            asked = pairs.select("query_id", F.col(f"{side}_ref").alias("ref"), F.col(f"{side}_group").alias("group"))
+            one = lookup.resolve_references(asked, self.features, self.spec, strict).filter(F.col("status") == lookup.FOUND)
+            one = one.select("query_id", F.col(self.spec.entity).alias(f"{side}_id"))
+            found = one if found is None else found.join(one, "query_id")
+        return self.explain(written(found.select("left_id", "right_id").distinct(), "pairs"))
+
     # -- parts -------------------------------------------------------------
 
     def _grouped(self, vectors: DataFrame) -> DataFrame:
@@ -141,7 +165,7 @@ class ProfileIndex:
         """Vectors of free texts. Which of their tokens are known takes one scan of the index."""
         counts = text_counts(queries, "query_id", "text", self.stemming)
         asked = lookup.small(counts.select("token").distinct())
-        held = self.vectors.select(F.explode("terms.token").alias("token"))
+        held = self.vectors.select(F.explode("terms.token").alias("token")) if self.fitted is None else self.fitted.select("token")
         known = written(held.join(asked, "token", "left_semi").distinct(), "known")
         return count_vectors(known_counts(counts, known, "query_id"), "query_id")
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from affinis.session import shuffle_partitions
+
 DEFAULT_K = 5
 
 
@@ -28,7 +30,8 @@ def top_k(
 
     Equal scores go in the order of ``ties``. With groups Spark keeps only k
     rows per group and task before the shuffle (window group limit); without,
-    it is a top-k scan. Either way no task sees a whole group.
+    it is a top-k scan. Beyond the k up to which Spark does so, each part of a group
+    is ranked first and its k best go on. Either way no task sees a whole group.
     """
     check_k(k)
     if exclude is not None:
@@ -36,6 +39,11 @@ def top_k(
     order = [F.desc(score) if largest else F.asc(score), *ties]
     if not by:
         scores = scores.orderBy(*order).limit(k)
+    elif k > int(scores.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        parts = shuffle_partitions(scores.sparkSession)
+        dealt = scores.withColumn("__part", F.pmod(F.xxhash64(*ties), F.lit(parts)))
+        own = F.row_number().over(Window.partitionBy(*by, "__part").orderBy(*order))
+        scores = dealt.withColumn("__own", own).filter(F.col("__own") <= k).drop("__own", "__part")
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
     return scores.withColumn("rank", rank.cast("bigint")).filter(F.col("rank") <= k)
 

@@ -22,16 +22,11 @@ TOP_TOKENS = 20
 def token_counts(df: DataFrame, entity: str, text: str) -> DataFrame:
     """(entity, token, cnt); an entity without tokens gives one row with a NULL token.
 
-    The one shuffle moves each text to its entity's partition; the counts are
-    then made in place.
+    Tokens are counted where a text is read; only (entity, token, cnt) moves, to its
+    entity's partition.
     """
-    return (
-        df.select(entity, text)
-        .repartition(entity)
-        .select(entity, F.explode_outer(tokens(F.col(text))).alias("token"))
-        .groupBy(entity, "token")
-        .agg(F.count("token").alias("cnt"))
-    )
+    rows = df.select(entity, F.explode_outer(tokens(F.col(text))).alias("token"))
+    return rows.groupBy(entity, "token").agg(F.count("token").alias("cnt"))
 
 
 def stemmed_counts(counts: DataFrame, entity: str) -> DataFrame:

@@ -151,16 +151,58 @@ def misspelt_queries(spark, sf):
     return names.select(F.col("p_name").alias("query_id"), F.regexp_replace("p_name", "^([^aeiou]*)[aeiou]", "$1").alias("part"))
 
 
-@query("search_fuzzy")
+SQL_FUZZY = """asked AS (SELECT DISTINCT p_name AS query_id, regexp_replace(p_name, '^([^aeiou]*)[aeiou]', '\\1') AS part FROM part),
+rated AS (SELECT query_id, part, n.p_name AS name, 1 - levenshtein(n.p_name, part) / greatest(length(n.p_name), length(part))::DOUBLE AS ratio
+  FROM asked JOIN (SELECT DISTINCT p_name FROM part) n ON true)"""
+
+
+@query(
+    "search_fuzzy",
+    f"""WITH {SQL_FUZZY} SELECT query_id, name AS nome_municipio, round(ratio, 6) AS ratio FROM rated WHERE ratio >= 0.7 - 1e-9
+    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY ratio DESC, name DESC) <= 10""",
+)
 def search_fuzzy(spark, sf):
-    """Best matching names by matching-block ratio (no SQL form)."""
+    """Names closest in edit distance."""
     hits = lookup.fuzzy_hits(misspelt_queries(spark, sf), _parts(spark, sf), 10, SPEC)
     return hits.withColumn("ratio", F.round("ratio", 6))
 
 
-@query("search_names")
+def misspelt_customers(spark, sf):
+    """Every customer's name with its last digit lost."""
+    return op.dimension(spark, sf).select(F.col(SPEC.name).alias("query_id"), F.expr(f"left({SPEC.name}, length({SPEC.name}) - 1)").alias("part"))
+
+
+@query(
+    "search_customers",
+    """WITH c AS (SELECT c_custkey AS id, c_name AS name, left(c_name, length(c_name) - 1) AS part FROM customer)
+    SELECT q.name AS query_id, c.id AS id_municipio, c.name AS nome_municipio FROM c q JOIN c ON contains(lower(c.name), lower(q.part))
+    QUALIFY row_number() OVER (PARTITION BY q.name ORDER BY c.id) <= 3""",
+)
+def search_customers(spark, sf):
+    """Substring search over names that are nearly all distinct."""
+    hits = lookup.substring_hits(misspelt_customers(spark, sf), op.dimension(spark, sf), 3, SPEC)
+    return hits.select("query_id", ENTITY, SPEC.name)
+
+
+@query(
+    "search_names",
+    f"""WITH {SQL_FUZZY},
+    exact AS (SELECT query_id, p_partkey AS id, p_name AS name, p_brand AS grp, 'substring' AS stage, NULL::DOUBLE AS ratio
+      FROM asked JOIN part ON contains(lower(p_name), lower(trim(part)))
+      QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY p_partkey) <= 10),
+    short AS (SELECT query_id FROM asked LEFT JOIN exact USING (query_id) GROUP BY query_id HAVING count(id) < 10),
+    hits AS (SELECT r.* FROM rated r JOIN short USING (query_id) WHERE ratio >= 0.7 - 1e-9
+      QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY ratio DESC, name DESC) <= 10),
+    close AS (SELECT h.query_id, min(p_partkey) AS id, h.name, p_brand AS grp, 'fuzzy' AS stage, max(ratio) AS ratio
+      FROM hits h JOIN part p ON p.p_name = h.name GROUP BY h.query_id, h.name, p_brand),
+    both_ AS (SELECT * FROM exact UNION ALL SELECT * FROM close c
+      WHERE NOT EXISTS (SELECT 1 FROM exact e WHERE e.query_id = c.query_id AND e.name = c.name AND e.grp IS NOT DISTINCT FROM c.grp))
+    SELECT query_id, rank, stage, name AS nome_municipio, grp AS sigla_uf FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY stage DESC, ratio DESC NULLS LAST,
+        CASE WHEN stage = 'fuzzy' THEN name END DESC NULLS LAST, id) AS rank FROM both_) WHERE rank <= 10""",
+)
 def search_names(spark, sf):
-    """Substring hits filled up with fuzzy ones (no SQL form)."""
+    """Substring hits filled up with names closest in edit distance."""
     return lookup.search(misspelt_queries(spark, sf), _parts(spark, sf), 10, SPEC)
 
 

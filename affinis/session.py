@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 << 20  # as JSON text
+
+
+_own_folder: str | None = None
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -16,19 +20,25 @@ def shared_folder(spark: SparkSession) -> str:
 
     A local session without the setting gets a folder of its own; on a cluster
     every executor must see the folder, so there a missing setting is an error.
+    The session's settings stay as they are.
     """
+    global _own_folder
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="affinis-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    if _own_folder is None:
+        _own_folder = tempfile.mkdtemp(prefix="affinis-")
+    return _own_folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/affinis/{label}-{uuid.uuid4().hex}"
+    """A path of its own for a table, which goes when the driver ends."""
+    name = f"{shared_folder(spark).rstrip('/')}/affinis/{label}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return name
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -43,9 +53,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; stops counting beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether ``df`` has few rows and few bytes; stops counting beyond the rows."""
+    most = BROADCAST_ROWS if max_rows is None else max_rows
+    size = df.limit(most + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes")
+    ).first()
+    return size.n <= most and size.bytes <= BROADCAST_BYTES
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -25,9 +25,19 @@ def load(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame
         raise FileNotFoundError(f"nothing landed at {path}") from error
 
 
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end: only then does its folder hold the success mark."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
 def land_once(df: DataFrame, path: str, force: bool = False, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write unless the table is there already, or anew with ``force``; read it back."""
-    df.write.mode("overwrite" if force else "ignore").partitionBy(*partition_by).parquet(path)
+    """Write unless a complete table is there already, or anew with ``force``; read it back.
+
+    What a crashed job left is written anew.
+    """
+    if force or not complete(df.sparkSession, path):
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return load(df.sparkSession, path)
 
 
@@ -67,14 +77,14 @@ def union_batches(batches: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
-def landed_batches(spark: SparkSession, paths: Mapping[str, str]) -> tuple[dict[str, DataFrame], list[str]]:
-    """The batches that can be opened, and the names of those that cannot."""
-    found, failed = {}, []
+def landed_batches(spark: SparkSession, paths: Mapping[str, str]) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """The batches that can be opened, and the reason for each that cannot."""
+    found, failed = {}, {}
     for name, path in paths.items():
         try:
             found[name] = spark.read.parquet(path)
-        except (AnalysisException, Py4JError):
-            failed.append(name)
+        except (AnalysisException, Py4JError) as error:
+            failed[name] = str(error).splitlines()[0]
     return found, failed
 
 
@@ -98,7 +108,7 @@ def load_index(
     spark: SparkSession, path: str, spec: ProfileSpec = LIVESTOCK, stemming: bool = True
 ) -> ProfileIndex:
     """Load a saved index and check that its tables belong together."""
-    tables = [load(spark, f"{path}/{name}") for name in ("features", "vectors")]
-    index = ProfileIndex(*tables, spec, stemming)
+    features, vectors, vocabulary = (load(spark, f"{path}/{name}") for name in ("features", "vectors", "vocabulary"))
+    index = ProfileIndex(features, vectors, spec, stemming, vocabulary)
     index.check()
     return index

@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from affinis.sources.landing import RAW_COLUMNS  # noqa: E402
+from affinis.spec import LIVESTOCK  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -44,15 +45,14 @@ def raw_rows(spark):
 def raw(raw_rows):
     return raw_rows(
         [
-            ("1200013", "Bovino", "50000"),
-            ("1200013", "Suíno - total", "3000"),
-            ("1200013", "Galináceos - total", "80000"),
-            ("1200013", "Suíno - matrizes desuínos", "400"),
-            ("3111606", " Bovino ", "10000"),
-            ("3111606", "Galináceos - total", "5000"),
-            ("3111606", "Suíno - total", "-"),
-            ("3550308", "Bovino", "-"),
-            ("3550308", "Suíno - total", "-"),
+            ("71", "Galináceos - total", "640"),
+            ("71", "Bovino", "12"),
+            ("72", "Suíno - total", "88"),
+            ("72", LIVESTOCK.ignored_categories[0], "31"),
+            ("72", "Bovino", ".."),
+            ("73", "  Bovino", "905"),
+            ("73", "Suíno - total", "-"),
+            ("74", "Galináceos - total", "-"),
         ]
     )
 
@@ -61,29 +61,33 @@ def raw(raw_rows):
 def dimension(spark):
     return spark.createDataFrame(
         [
-            (1200013, "Acrelândia", "Norte", "AC", "Vale do Acre"),
-            (3111606, "Cambuquira", "Sudeste", "MG", "Sul/Sudoeste de Minas"),
-            (3550308, "São Paulo", "Sudeste", "SP", "Metropolitana de São Paulo"),
-            (1302603, "Manaus", "Norte", "AM", "Centro Amazonense"),
+            (71, "Pedra Alta", "Centro", "AA", "Serra Azul/Vale"),
+            (72, "Rio Fundo", "Litoral", "BB", "Costa Norte"),
+            (73, "Vila Nova", "Litoral", "CC", "Baía de Areia"),
+            (74, "Campo Só", "Centro", "BB", "Mata - Funda"),
+            (75, "Ilhote", None, None, None),
         ],
         "id_municipio bigint, nome_municipio string, nome_regiao string, sigla_uf string, nome_mesorregiao string",
     )
 
 
+#: Entities with profile texts of crafts: (id, name, group, tokens).
+PROFILES = [
+    (5, "Faro Velho", "QA", "coast qa weaving_strong pottery_some"),
+    (8, "Faro Novo", "QA", "coast qa weaving_strong pottery_some glass_few"),
+    (9, "Lagoa", "QB", "coast qb glass_strong"),
+    (14, "Lagôa", "QC", "plain qc glass_strong weaving_few"),
+    (21, "Monte Claro", "QC", "plain qc pottery_strong"),
+    (22, "Serra Funda", "QD", "ridge qd pottery_some"),
+    (30, "Faro Velho", "QD", "ridge qd weaving_strong pottery_some glass_few"),
+    (37, "Vale do Ipê", "QE", "plain qe nothing_made"),
+]
+
+
 @pytest.fixture(scope="session")
 def profiles(spark):
-    """Six entities with profile texts."""
-    minas = "sudeste mg sul_sudoeste_de_minas alta_avicultura"
-    rows = [
-        (3111606, "Cambuquira", "MG", f"{minas} media_bovinocultura"),
-        (3550308, "São Paulo", "SP", "sudeste sp metropolitana_de_são_paulo sem_producao_pecuaria"),
-        (4314902, "Porto Alegre", "RS", "sul rs metropolitana_de_porto_alegre alta_bovinocultura"),
-        (1302603, "Manaus", "AM", "norte am centro_amazonense alta_bovinocultura"),
-        (3143302, "Sao Paulo", "MG", f"{minas} baixa_bovinocultura"),
-        (3170107, "Uberlândia", "MG", "sudeste mg triângulo_mineiro alta_bovinocultura alta_avicultura"),
-    ]
     return spark.createDataFrame(
-        [(i, n, u, "meso", "regiao", "especializado_em_x", t) for i, n, u, t in rows],
+        [(i, n, u, "meso", "regiao", "especializado_em_x", t) for i, n, u, t in PROFILES],
         "id_municipio bigint, nome_municipio string, sigla_uf string, nome_mesorregiao string, "
         "nome_regiao string, especializacao string, tags string",
     )

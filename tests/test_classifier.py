@@ -14,13 +14,13 @@ X = ["x1", "x2"]
 
 @pytest.fixture(scope="module")
 def small(spark):
-    rows = [(1.0, 2.5, 0), (2.0, 3.0, 0), (3.0, 5.0, 1), (1.0, 4.0, 0), (5.0, 6.0, 1), (6.0, 7.0, 1)]
+    rows = [(0.5, -1.0, 0), (1.5, 0.25, 1), (-0.75, 2.0, 0), (2.0, 1.0, 1), (0.0, 0.5, 1), (-1.25, -0.5, 0), (1.0, -2.0, 0)]
     return spark.createDataFrame(rows, "x1 double, x2 double, y bigint")
 
 
 @pytest.fixture(scope="module")
 def asked(spark):
-    return spark.createDataFrame([(1, 1.5, 2.0), (2, 4.0, 5.5)], "id int, x1 double, x2 double")
+    return spark.createDataFrame([(1, -0.5, 0.75), (2, 1.25, 0.5)], "id int, x1 double, x2 double")
 
 
 def probabilities(model, df):
@@ -28,10 +28,10 @@ def probabilities(model, df):
 
 
 def test_sigmoid(spark):
-    z = [-1000.0, -2.0, -1.0, 0.0, 1.0, 2.0, 1000.0]
+    z = [-800.0, -3.5, -0.25, 0.0, 0.75, 4.0, 900.0]
     df = spark.createDataFrame(list(enumerate(z)), "i int, z double")
     got = [r[0] for r in df.orderBy("i").select(V.sigmoid(F.col("z"))).collect()]
-    assert got == pytest.approx([0, 0.11920292, 0.26894142, 0.5, 0.73105858, 0.88079708, 1], abs=1e-8)
+    assert got == pytest.approx([1 / (1 + math.exp(-min(max(x, -700), 700))) for x in z], abs=1e-12)
     assert all(map(math.isfinite, got))
 
 
@@ -42,49 +42,42 @@ def test_cross_entropy(spark):
     assert math.isfinite(got[2]) and got[2] > 30 and got[3] == pytest.approx(math.log(2))
 
 
-@pytest.mark.parametrize(
-    ("steps", "weights", "bias", "loss", "proba"),
-    [
-        (1, (0.00833333, 0.00708333), 0.0, 0.6931471806, (0.50666627, 0.51806505)),
-        (3, (0.02338035, 0.01903579), -0.0004171892, 0.6720566994, (0.51817322, 0.54928966)),
-    ],
-)
-def test_first_steps(small, asked, steps, weights, bias, loss, proba):
-    model = C.GradientDescent(iterations=steps).fit(small, X, "y")
-    assert model.weights == pytest.approx(weights, abs=1e-8)
-    assert model.bias == pytest.approx(bias, abs=1e-9)
-    assert model.losses[-1] == pytest.approx(loss, abs=1e-9)
-    assert probabilities(model, asked) == pytest.approx(proba, abs=1e-7)
-
-
-def test_against_numpy(small):
-    """Forty steps written out with whole arrays."""
+def descended(small, rate, steps):
+    """The steps written out with whole arrays."""
     rows = np.array([tuple(map(float, r)) for r in small.collect()])
     x, y, w, b, losses = rows[:, :2], rows[:, 2], np.zeros(2), 0.0, []
-    for _ in range(40):
+    for _ in range(steps):
         p = 1 / (1 + np.exp(-(x @ w + b)))
         losses.append(-np.mean(y * np.log(p) + (1 - y) * np.log(1 - p)))
-        w, b = w - 0.3 * x.T @ (p - y) / len(y), b - 0.3 * np.mean(p - y)
-    model = C.GradientDescent(learning_rate=0.3, iterations=40, tolerance=0).fit(small, X, "y")
+        w, b = w - rate * x.T @ (p - y) / len(y), b - rate * np.mean(p - y)
+    return w, b, losses
+
+
+@pytest.mark.parametrize(("rate", "steps"), [(0.01, 1), (0.01, 3), (0.3, 40)])
+def test_against_numpy(small, asked, rate, steps):
+    w, b, losses = descended(small, rate, steps)
+    model = C.GradientDescent(learning_rate=rate, iterations=steps, tolerance=0).fit(small, X, "y")
     assert model.losses == pytest.approx(losses) and not model.converged
     assert model.weights == pytest.approx(w) and model.bias == pytest.approx(b)
+    points = np.array([(r["x1"], r["x2"]) for r in asked.orderBy("id").collect()])
+    assert probabilities(model, asked) == pytest.approx(1 / (1 + np.exp(-(points @ w + b))))
 
 
-@pytest.mark.slow
-def test_thousand_steps(small, asked):
-    model = C.GradientDescent(iterations=1000, tolerance=0).fit(small.coalesce(1), X, "y")
+def test_default_thousand_steps(small, asked):
+    w, b, losses = descended(small, 0.01, 1000)
+    model = C.GradientDescent(tolerance=0).fit(small.coalesce(1), X, "y")
     assert model.iterations_run == 1000 and not model.converged
-    assert model.weights == pytest.approx((1.25669221, -0.47321303), abs=1e-7)
-    assert model.bias == pytest.approx(-1.0140559767, abs=1e-8)
-    assert model.losses[0] == pytest.approx(math.log(2)) and model.losses[-1] == pytest.approx(0.3134148587, abs=1e-9)
-    assert [r["prediction"] for r in model.predict(asked).orderBy("id").collect()] == [0, 1]
+    assert model.weights == pytest.approx(w) and model.bias == pytest.approx(b)
+    assert model.losses[-1] == pytest.approx(losses[-1])
 
 
 def test_early_stop_and_history(spark, small):
-    model = C.GradientDescent(tolerance=1e-3).fit(small, X, "y")
-    assert model.iterations_run == 29 and model.converged
+    losses = descended(small, 0.05, 200)[2]
+    steps = next(i for i in range(1, 200) if abs(losses[i] - losses[i - 1]) < 1e-3) + 1
+    model = C.GradientDescent(learning_rate=0.05, tolerance=1e-3).fit(small, X, "y")
+    assert model.iterations_run == steps and model.converged
     history = model.history(spark).orderBy("iteration").collect()
-    assert [r["iteration"] for r in history] == list(range(29))
+    assert [r["iteration"] for r in history] == list(range(steps))
     assert all(a["loss"] > b["loss"] for a, b in zip(history, history[1:], strict=False))
 
 
@@ -103,7 +96,8 @@ def test_many_partitions_add_up_the_same(small, monkeypatch):
 
 def test_threshold(small, asked):
     model = C.GradientDescent(iterations=3).fit(small, X, "y")
-    counts = [model.predict(asked, t).agg(F.sum("prediction")).first()[0] for t in (0.1, 0.53, 0.9)]
+    low, high = sorted(probabilities(model, asked))
+    counts = [model.predict(asked, t).agg(F.sum("prediction")).first()[0] for t in (low / 2, (low + high) / 2, high)]
     assert counts == [2, 1, 0]
     even = C.DescentModel(("x1",), (0.0,), 0.0, (), False)
     row = even.predict(asked).schema["prediction"].dataType.simpleString(), even.predict(asked).first()["prediction"]
@@ -145,17 +139,17 @@ def test_scored_stream(spark, small, asked, tmp_path):
     model = C.GradientDescent(iterations=3).fit(small, X, "y")
     asked.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(asked.schema).parquet(str(tmp_path / "in"))
-    scoring.run_to_table(scoring.scored(stream, model, 0.53), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    scoring.run_to_table(scoring.scored(stream, model, sum(probabilities(model, asked)) / 2), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).orderBy("id").collect()
     assert [r["probability"] for r in got] == pytest.approx(probabilities(model, asked))
     assert [r["prediction"] for r in got] == [0, 1]
 
 
 def test_known_tokens_of_a_stream(spark, tmp_path):
-    fit = spark.createDataFrame([(1, "nordeste rn"), (2, "sudeste sp")], "id int, text string")
+    fit = spark.createDataFrame([(1, "upland ua"), (2, "lowland ub")], "id int, text string")
     vocabulary = voc.fit_vocabulary(voc.token_counts(fit, "id", "text")).cache()
-    spark.createDataFrame([(7, "SP nordeste mg"), (8, None)], "id int, text string").write.parquet(str(tmp_path / "in"))
+    spark.createDataFrame([(7, "UB upland uc"), (8, None)], "id int, text string").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("id int, text string").parquet(str(tmp_path / "in"))
     found = scoring.known_tokens(stream, vocabulary, "id", "text")
     scoring.run_to_table(found, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    assert {(r["id"], r["token"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {(7, "sp"), (7, "nordeste")}
+    assert {(r["id"], r["token"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {(7, "ub"), (7, "upland")}

@@ -1,6 +1,5 @@
-import difflib
-
 import pytest
+from conftest import PROFILES
 from pyspark.sql import functions as F
 
 from affinis.operators import lookup, recommend
@@ -22,8 +21,23 @@ def ranked(df):
     return [r[ID] for r in df.orderBy("query_id", "rank").collect()]
 
 
+def cosine(a, b):
+    a, b = set(a.split()), set(b.split())
+    return len(a & b) / (len(a) * len(b)) ** 0.5
+
+
+def expected(text, k, leave=lambda i, group: False):
+    """Ids by brute force: the best scores first, equal ones by id."""
+    scored = [(-round(cosine(text, t), 9), i) for i, _, g, t in PROFILES if not leave(i, g)]
+    return [i for _, i in sorted(scored)[:k]]
+
+
+def text_of(entity):
+    return next(t for i, _, _, t in PROFILES if i == entity)
+
+
 def test_index(index, profiles):
-    assert index.vocabulary.count() == 17
+    assert index.vocabulary.count() == len({t for *_, text in PROFILES for t in text.split()})
     index.check()
     with pytest.raises(ValueError):
         recommend.ProfileIndex(profiles.limit(3), index.vectors).check()
@@ -36,37 +50,47 @@ def test_index(index, profiles):
 def test_saved_index(spark, index, tmp_path):
     landing.save_index(index, str(tmp_path / "index"))
     loaded = landing.load_index(spark, str(tmp_path / "index"), stemming=False)
+    assert loaded.fitted is not None  # the saved vocabulary, not one fitted again
     assert sorted(loaded.vocabulary.collect()) == sorted(index.vocabulary.collect())
-    assert ranked(loaded.by_entity(ids(spark, 3111606), 2)) == [3143302, 3170107]
+    assert ranked(loaded.by_entity(ids(spark, 8), 2)) == expected(text_of(8), 2, lambda i, g: i == 8)
+    asked = spark.createDataFrame([(1, "coast unheard glass_few")], "query_id int, text string")
+    assert ranked(loaded.by_text(asked, 3)) == ranked(index.by_text(asked, 3))
     with pytest.raises(FileNotFoundError):
         landing.load_index(spark, str(tmp_path / "none"))
 
 
-def test_by_entity(spark, index):
-    got = index.by_entity(ids(spark, 3111606), 5).orderBy("rank").collect()
-    assert [r[ID] for r in got] == [3143302, 3170107, 3550308, 1302603, 4314902]
-    assert [r["score"] for r in got] == pytest.approx([0.8, 0.6, 0.223607, 0, 0], abs=1e-6)
-    assert got[0][NAME] == "Sao Paulo" and got[0]["tags"].startswith("sudeste mg")
+@pytest.mark.parametrize("entity", [5, 14, 22, 37])
+def test_by_entity(spark, index, entity):
+    got = index.by_entity(ids(spark, entity), 7).orderBy("rank").collect()
+    want = expected(text_of(entity), 7, lambda i, g: i == entity)
+    assert [r[ID] for r in got] == want
+    assert [r["score"] for r in got] == pytest.approx([cosine(text_of(entity), text_of(i)) for i in want], abs=1e-6)
+    assert got[0]["tags"] == text_of(want[0])
 
 
 def test_other_groups(spark, index):
-    got = index.by_entity(ids(spark, 3111606), 5, other_groups_only=True)
-    assert "MG" not in {r[GROUP] for r in got.collect()}
-    assert ranked(got) == [3550308, 1302603, 4314902]
+    got = index.by_entity(ids(spark, 8), 6, other_groups_only=True)
+    assert "QA" not in {r[GROUP] for r in got.collect()}
+    assert ranked(got) == expected(text_of(8), 6, lambda i, g: g == "QA")
 
 
 def test_by_name_and_code(spark, index):
-    names = spark.createDataFrame([(1, " CAMBUQUIRA ", None), (2, "nobody", None)], "query_id int, name string, `group` string")
-    assert ranked(index.by_name(names, 1)) == [3143302]
-    codes = spark.createDataFrame([(7, "3111606"), (8, "x"), (9, "1")], "query_id int, code string")
-    assert ranked(index.by_code(codes, 2)) == [3143302, 3170107]
+    names = spark.createDataFrame([(1, " MONTE CLARO ", None), (2, "nobody", None)], "query_id int, name string, `group` string")
+    assert ranked(index.by_name(names, 3)) == expected(text_of(21), 3, lambda i, g: i == 21)
+    with pytest.raises(LookupError):
+        index.by_name(names, 3, strict=True)
+    codes = spark.createDataFrame([(7, "22"), (8, "x"), (9, "1")], "query_id int, code string")
+    assert ranked(index.by_code(codes, 2)) == expected(text_of(22), 2, lambda i, g: i == 22)
+    with pytest.raises(LookupError):
+        index.by_code(codes, 2, strict=True)
 
 
 def test_by_text(spark, index):
-    queries = spark.createDataFrame([(1, "sul rs alta_bovinocultura"), (2, "nothing known"), (3, None)], "query_id int, text string")
-    got = index.by_text(queries, 6).orderBy("rank").collect()
-    assert [r[ID] for r in got] == [4314902, 1302603, 3170107, 3111606, 3143302, 3550308]
-    assert [r["score"] for r in got[:4]] == pytest.approx([0.866025, 0.288675, 0.258199, 0], abs=1e-6)
+    asked = "plain glass_strong unheard"
+    queries = spark.createDataFrame([(1, asked), (2, "nothing known"), (3, None)], "query_id int, text string")
+    got = index.by_text(queries, 8).orderBy("rank").collect()
+    assert [r[ID] for r in got] == expected("plain glass_strong", 8)
+    assert [r["score"] for r in got] == pytest.approx([cosine("plain glass_strong", r["tags"]) for r in got], abs=1e-6)
     status = {r["query_id"]: r["status"] for r in index.text_status(queries).collect()}
     assert status == {1: "found", 2: "no_known_token", 3: "no_known_token"}
     with pytest.raises(ValueError, match="no token"):
@@ -76,26 +100,36 @@ def test_by_text(spark, index):
 
 
 def test_explain(spark, index):
-    pairs = spark.createDataFrame([(3111606, 3143302)], "left_id bigint, right_id bigint")
-    row = index.explain(pairs).first()
-    assert (row["cosine"], row["euclidean"], row["manhattan"]) == pytest.approx((0.8, 2**0.5, 2.0))
-    assert row["common"] == ["alta_avicultura", "mg", "sudeste", "sul_sudoeste_de_minas"]
-    assert (row["left_only"], row["right_only"]) == (["media_bovinocultura"], ["baixa_bovinocultura"])
+    left, right = text_of(8).split(), text_of(30).split()
+    row = index.explain(spark.createDataFrame([(8, 30)], "left_id bigint, right_id bigint")).first()
+    apart = len(set(left) ^ set(right))
+    assert (row["cosine"], row["euclidean"], row["manhattan"]) == pytest.approx((cosine(text_of(8), text_of(30)), apart**0.5, apart))
+    assert row["common"] == sorted(set(left) & set(right))
+    assert (row["left_only"], row["right_only"]) == (sorted(set(left) - set(right)), sorted(set(right) - set(left)))
+
+
+def test_explain_references(spark, index):
+    schema = "query_id int, left_ref string, left_group string, right_ref string, right_group string"
+    asked = spark.createDataFrame([(1, "faro velho", "qd", "8", None), (2, "nobody", None, "8", None), (3, None, None, "8", None)], schema)
+    assert [(r["left_id"], r["right_id"]) for r in index.explain_references(asked, strict=False).collect()] == [(30, 8)]
+    with pytest.raises(LookupError):
+        index.explain_references(asked)
 
 
 def test_near_twins(spark):
-    """Nineteen common tokens and one exclusive token on each side."""
-    common = " ".join(f"t{i}" for i in range(19))
+    """Many common tokens and one exclusive token on each side."""
+    n = 12
+    common = " ".join(f"t{i}" for i in range(n))
     rows = [(1, "a", "X", f"{common} only_a"), (2, "b", "Y", f"{common} only_b")]
     features = spark.createDataFrame(rows, f"{ID} bigint, {NAME} string, {GROUP} string, tags string")
     index = recommend.ProfileIndex.build(features, stemming=False)
     row = index.explain(spark.createDataFrame([(1, 2)], "left_id bigint, right_id bigint")).first()
-    assert (row["cosine"], row["euclidean"], row["manhattan"]) == pytest.approx((0.95, 1.4142, 2.0), abs=1e-4)
+    assert (row["cosine"], row["euclidean"], row["manhattan"]) == pytest.approx((n / (n + 1), 2**0.5, 2.0))
 
 
 def test_listing(spark, index):
-    row = recommend.shown(index.by_entity(ids(spark, 3111606), 1)).first()
-    assert row["especializacao"] == "x" and row[NAME] == "Sao Paulo"
+    row = recommend.shown(index.by_entity(ids(spark, 5), 1)).first()
+    assert row["especializacao"] == "x" and row[NAME] == "Faro Novo"
 
 
 # -- lookup -----------------------------------------------------------------------
@@ -106,48 +140,63 @@ def names(spark, *rows):
 
 
 def test_resolve_names(spark, profiles):
-    twice = profiles.withColumn(NAME, F.when(F.col(NAME) == "Manaus", "Cambuquira").otherwise(F.col(NAME)))
-    asked = names(spark, ("são paulo", None), ("Sao Paulo", None), ("cambuquira", None), ("cambuquira", "am"), ("Uberlandia", None))
-    got = {r["query_id"]: r for r in lookup.resolve_names(asked, twice, suggest=True).collect()}
-    assert [got[i]["status"] for i in range(5)] == ["found", "found", "ambiguous", "found", "not_found"]
-    assert got[0][ID] == 3550308 and got[1][ID] == 3143302 and got[3][ID] == 1302603
-    assert got[2]["groups"] == ["AM", "MG"] and got[2][ID] is None
-    assert got[4]["suggestions"] == ["Uberlândia (MG)"]
+    asked = names(spark, ("lagoa", None), ("LAGÔA", None), ("faro velho", None), (" faro velho", "qd"), ("Vale do Ipe", None), (None, None))
+    got = {r["query_id"]: r for r in lookup.resolve_names(asked, profiles, suggest=True).collect()}
+    assert [got[i]["status"] for i in range(6)] == ["found", "found", "ambiguous", "found", "not_found", "not_found"]
+    assert got[0][ID] == 9 and got[1][ID] == 14 and got[3][ID] == 30
+    assert got[2]["groups"] == ["QA", "QD"] and got[2][ID] is None
+    assert got[4]["suggestions"] == ["Vale do Ipê (QE)"]
     with pytest.raises(LookupError, match="ambiguous"):
-        lookup.resolve_names(asked, twice, strict=True)
+        lookup.resolve_names(asked, profiles, strict=True)
+
+
+def test_a_missing_group_is_listed(spark):
+    rows = [(1, "Twin", "G"), (2, "Twin", None)]
+    entities = spark.createDataFrame(rows, f"{ID} int, {NAME} string, {GROUP} string")
+    got = lookup.resolve_names(names(spark, ("twin", None)), entities).first()
+    assert got["status"] == "ambiguous" and got["groups"] == ["", "G"]
+    hits = lookup.search(spark.createDataFrame([(1, "twin")], "query_id int, part string"), entities).collect()
+    assert sorted((r[NAME], r[GROUP] or "", r["stage"]) for r in hits) == [("Twin", "", "substring"), ("Twin", "G", "substring")]
 
 
 def test_resolve_codes(spark, profiles):
-    asked = spark.createDataFrame([(1, "3111606"), (2, "9999999"), (3, "no_number"), (4, "10d"), (5, None)], "query_id int, code string")
+    asked = spark.createDataFrame([(1, "21"), (2, "9999999"), (3, "no_number"), (4, "10d"), (5, None)], "query_id int, code string")
     got = {r["query_id"]: (r["status"], r[ID]) for r in lookup.resolve_codes(asked, profiles).collect()}
-    assert got == {
-        1: ("found", 3111606), 2: ("not_found", None), 3: ("invalid", None), 4: ("invalid", None), 5: ("invalid", None),
-    }
+    assert got == {1: ("found", 21), 2: ("not_found", None), 3: ("invalid", None), 4: ("invalid", None), 5: ("invalid", None)}
 
 
 def test_resolve_references(spark, profiles):
-    asked = spark.createDataFrame([(1, "3111606", None), (2, "manaus", None), (3, "São Paulo", "RJ")], "query_id int, ref string, `group` string")
+    rows = [(1, "22", None), (2, "lagoa", None), (3, "Lagôa", "QA"), (4, None, None)]
+    asked = spark.createDataFrame(rows, "query_id int, ref string, `group` string")
     got = {r["query_id"]: (r["status"], r[ID]) for r in lookup.resolve_references(asked, profiles).collect()}
-    assert got == {1: ("found", 3111606), 2: ("found", 1302603), 3: ("not_found", None)}
+    assert got == {1: ("found", 22), 2: ("found", 9), 3: ("not_found", None), 4: ("invalid", None)}
 
 
 def test_search(spark, profiles):
-    asked = spark.createDataFrame([(1, "CAMBU"), (2, "Uberlandia"), (3, ""), (4, "o p"), (5, "a")], "query_id int, part string")
+    asked = spark.createDataFrame([(1, "CLAR"), (2, "Vale do Ipe"), (3, ""), (4, "o vel"), (5, "a")], "query_id int, part string")
     got = {}
     for r in lookup.search(asked, profiles).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((r["stage"], r[NAME]))
-    assert got[1] == [("substring", "Cambuquira")]
-    assert got[2] == [("fuzzy", "Uberlândia")]
+    assert got[1] == [("substring", "Monte Claro")]
+    assert got[2] == [("fuzzy", "Vale do Ipê")]
     assert 3 not in got
-    assert got[4] == [("substring", "Sao Paulo"), ("substring", "São Paulo")]
-    assert {n for _, n in got[5]} == {"Manaus", "Cambuquira", "Sao Paulo", "São Paulo", "Uberlândia", "Porto Alegre"}
-    assert [n for _, n in got[5]][:2] == ["Manaus", "Cambuquira"]
+    assert got[4] == [("substring", "Faro Velho")] * 2
+    assert [n for _, n in got[5]] == [n for _, n, *_ in PROFILES if "a" in n.lower()]
 
 
 WORDS = ["small ring", "red widget", "blue bolt", "hot gear", "small gizmo", "smal rng", "gear hot", "bolt", "b", "aa", "aab", "old plate"]
 ASKED = ["smll ring", "rd widget", "bolt blue", "gear", "aaa", "small", "plate old", "zzz", "B"]
 
 
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
 @pytest.mark.parametrize("cutoff", [0.5, 0.7, 0.9])
 def test_fuzzy_against_every_pair(spark, cutoff):
     entities = spark.createDataFrame([(i, w, "g") for i, w in enumerate(WORDS)], f"{ID} int, {NAME} string, {GROUP} string")
@@ -156,8 +205,9 @@ def test_fuzzy_against_every_pair(spark, cutoff):
     for r in lookup.fuzzy_hits(asked, entities, 10, cutoff=cutoff).collect():
         got.setdefault(r["query_id"], []).append((r["ratio"], r[NAME]))
     for word in ASKED:
-        expected = difflib.get_close_matches(word, WORDS, n=10, cutoff=cutoff)
-        assert [n for _, n in sorted(got.get(word, []), reverse=True)] == expected
+        near = [(1 - distance(word, w) / max(len(word), len(w)), w) for w in WORDS]
+        want = sorted((x for x in near if x[0] >= cutoff - 1e-9), key=lambda x: (round(x[0], 9), x[1]), reverse=True)[:10]
+        assert [n for _, n in sorted(got.get(word, []), key=lambda x: (round(x[0], 9), x[1]), reverse=True)] == [n for _, n in want]
 
 
 def test_substring_against_every_pair(spark):

@@ -67,20 +67,19 @@ def test_vocabulary(corpus):
 @pytest.mark.parametrize("per_salt", [2, 100_000])
 def test_lookups_with_a_heavy_key(spark, monkeypatch, per_salt):
     monkeypatch.setattr(joins, "ROWS_PER_SALT", per_salt)
-    monkeypatch.setattr(joins, "HEAVY_KEYS", 2)
+    monkeypatch.setattr(joins, "MOST_HEAVY", 2)
+    monkeypatch.setattr("affinis.session.BROADCAST_ROWS", 0)  # no table is small
     rows = spark.range(300).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7).alias("k"))
     table = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.concat(F.lit("k"), "k"))
     expected = sorted(rows.join(table, "k").select("id", "name").collect())
     assert sorted(joins.weighted_lookup(rows, table, ["k"], "n", "id").select("id", "name").collect()) == expected
-    if per_salt == 2:
-        monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
     some = table.filter("k <> 0").select("k", "name")
     got = joins.salted_lookup(rows, some, ["k"], "id", "left")
     assert got.count() == 300 and got.filter("name IS NULL").count() == rows.filter("k = 0").count()
 
 
 def test_frozen_vocabulary(spark):
-    fit = spark.createDataFrame([(1, "nordeste rn"), (2, "sudeste sp")], "id int, text string")
+    fit = spark.createDataFrame([(1, "upland ua"), (2, "lowland ub")], "id int, text string")
     vocabulary = voc.fit_vocabulary(voc.token_counts(fit, "id", "text"))
     asked = spark.createDataFrame([(1, "nordeste mg"), (2, "mg"), (3, None)], "id int, text string")
     got = {r["id"]: r["l1"] for r in voc.term_vectors(asked, "id", "text", False, vocabulary).collect()}
@@ -226,16 +225,30 @@ def test_ml_vectors(spark):
 
 
 def test_top_k(spark):
-    df = spark.createDataFrame(list(enumerate([0.1, 0.9, 0.5, 0.7, 0.3])), "id int, score double")
-    assert [r["id"] for r in topk.top_k_largest(df, 3).orderBy("rank").collect()] == [1, 3, 2]
-    assert [r["id"] for r in topk.top_k_largest(df, 3, exclude=F.col("id") == 1).orderBy("rank").collect()] == [3, 2, 4]
-    assert topk.top_k_largest(df, 50).count() == 5
-    near = spark.createDataFrame(list(enumerate([5.0, 1.0, 3.0, 2.0, 4.0])), "id int, distance double")
-    assert [r["id"] for r in topk.top_k_smallest(near, 3).orderBy("rank").collect()] == [1, 3, 2]
+    values = [(i * 37) % 101 / 8 for i in range(23)]
+    best = sorted(range(23), key=lambda i: -values[i])
+    df = spark.createDataFrame(list(enumerate(values)), "id int, score double")
+    assert [r["id"] for r in topk.top_k_largest(df, 4).orderBy("rank").collect()] == best[:4]
+    without = topk.top_k_largest(df, 4, exclude=F.col("id") == best[1])
+    assert [r["id"] for r in without.orderBy("rank").collect()] == [best[0], *best[2:5]]
+    assert topk.top_k_largest(df, 50).count() == 23
+    near = df.withColumnRenamed("score", "distance")
+    assert [r["id"] for r in topk.top_k_smallest(near, 3).orderBy("rank").collect()] == best[::-1][:3]
     with pytest.raises(ValueError):
         topk.top_k_largest(df, 0)
 
 
+def test_top_k_of_a_large_k_is_cut_in_parts(spark):
+    df = spark.range(9_000).select((F.col("id") % 2).alias("g"), "id", F.pmod(F.xxhash64("id"), F.lit(50)).alias("score"))
+    got = topk.top_k(df, 1_500, "score", ["id"], ["g"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "__part" in plan
+    rows = df.collect()
+    for g in (0, 1):
+        want = sorted((-r["score"], r["id"]) for r in rows if r["g"] == g)[:1_500]
+        assert [(-r["score"], r["id"]) for r in got.filter(F.col("g") == g).orderBy("rank").collect()] == want
+
+
 def test_ties_go_by_id(spark):
     df = spark.createDataFrame([(3, 1.0), (1, 1.0), (2, 1.0)], "id int, score double")
     assert [r["id"] for r in topk.top_k_largest(df, 2).orderBy("rank").collect()] == [1, 2]
