@@ -25,7 +25,7 @@ ORDER = 2
 LEAST = 2  # occurrences from which an n-gram of two words or more is kept
 BACKOFF = 0.4
 STRETCH_BYTES = 8 << 20  # of text
-TABLE_BYTES = 16 << 20  # of hashes, about, in one part of the count table
+TABLE_BYTES = 8 << 20  # of hashes, about, in one part of the count table
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,13 +69,22 @@ class Stretch:
         words, self.counts = np.concatenate(hashes), np.concatenate(counts)
         n, ends = len(words), np.cumsum(self.counts)
         self.place = np.arange(n) - np.repeat(ends - self.counts, self.counts)  # of a word in its text
-        self.at, grams = [], []
+        self.at, distinct, numbers, inverses = [], [], [], []
         for k in range(order):
             at = np.flatnonzero(self.place >= k)
             tagged = mix(spans(words, at - k, at + 1, STEP) ^ np.uint64(k)) & ~np.uint64(7) | np.uint64(k)
-            self.at.append(at)
-            grams.append(tagged)
-        self.grams, self.inverse, self.numbers = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+            own, inverse, counts = np.unique(tagged, return_inverse=True, return_counts=True)
+            self.at.append(at.astype(np.int32))
+            distinct.append(own)
+            numbers.append(counts.astype(np.uint32))
+            inverses.append(inverse.astype(np.int32))
+        together = np.concatenate(distinct)
+        ranks = np.argsort(together)
+        self.grams, self.numbers = together[ranks], np.concatenate(numbers)[ranks]
+        place = np.empty(len(ranks), np.int32)
+        place[ranks] = np.arange(len(ranks), dtype=np.int32)
+        starts = np.cumsum([0, *map(len, distinct)])
+        self.inverse = [place[first + inverse] for first, inverse in zip(starts, inverses, strict=False)]  # of each order's positions
 
 
 def parts_of(grams: np.ndarray, bits: int) -> np.ndarray:
@@ -135,12 +144,11 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def log_scores(own: Stretch, totals: np.ndarray, everything: int, order: int, least: int, backoff: float) -> tuple[np.ndarray, np.ndarray]:
     """log S of each word, and how many words of history it was scored with."""
     n = len(own.place)
-    by_order, first = [], 0
-    for at in own.at:
+    by_order = []
+    for at, inverse in zip(own.at, own.inverse, strict=True):
         counts = np.zeros(n, np.int64)
-        counts[at] = totals[own.inverse[first : first + len(at)]]
+        counts[at] = totals[inverse]
         by_order.append(counts)
-        first += len(at)
     score, used = np.log(np.maximum(by_order[0], 1) / max(1, everything)), np.zeros(n, np.int64)
     for k in range(1, order):
         has = own.place >= k

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 STEP = 0xD1342543DE82EF95 | 1
 #: White space of the words `[^\x20\x09-\x0D]+`.
@@ -28,7 +28,7 @@ def powers(base: int, count: int) -> np.ndarray:
     """base ** 0 .. base ** (count - 1), modulo 2 ** 64."""
     have = _powers.get(base)
     if have is None or len(have) < count:
-        size = 1 << max(12, (count - 1).bit_length())
+        size = -(-count // 65_536) * 65_536
         steps = np.full(size, base, np.uint64)
         steps[0] = 1
         have = _powers[base] = np.multiply.accumulate(steps)
