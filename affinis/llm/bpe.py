@@ -21,8 +21,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-TEXT_BYTES = 16 << 20  # of text whose distinct words are merged together
-OUT_BYTES = 4 << 20  # of text in one batch handed on
+from affinis.llm.tasks import releasing
+
+TEXT_CHARS = 16 << 20  # of text whose distinct words are merged together
+OUT_TOKENS = 1 << 20  # in one batch handed on
 #: White space of the tokenizer's patterns.
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Lower case of letters newer than this Python's tables, as (first, last, distance).
@@ -203,27 +205,40 @@ def gathered(values: np.ndarray, starts: np.ndarray, chosen: np.ndarray) -> tupl
     return values[at], ends
 
 
-def encode(texts: list[str], known: Vocabulary) -> list[np.ndarray]:
-    """Ids of each text."""
-    numbers: dict[str, int] = {s: i for i, s in enumerate(known.special)}
-    chosen, bounds = [], [0]
-    for text in texts:
-        pieces = known.split.split(text) if known.split and "<" in text else [text]
-        for piece in pieces:
+class Encoder:
+    """Takes texts one by one as numbers of their words; the words are merged together when the ids are asked for."""
+
+    def __init__(self, known: Vocabulary):
+        self.known = known
+        self.numbers: dict[str, int] = {s: i for i, s in enumerate(known.special)}
+        self.taken: list[np.ndarray] = []
+
+    def take(self, text: str) -> None:
+        known, numbers, chosen = self.known, self.numbers, []
+        for piece in known.split.split(text) if known.split and "<" in text else [text]:
             if piece in known.special:
                 chosen.append(numbers[piece])
             elif piece:
                 chosen += [numbers.setdefault(w, len(numbers)) for w in words_of(lowered(piece))]
-        bounds.append(len(chosen))
-    words = [w.encode() for w in numbers][len(known.special) :]
-    ids, starts = merge_words(words, known) if words else (np.zeros(0, np.int32), np.zeros(1, np.int64))
-    own = np.fromiter(known.special.values(), np.int32, len(known.special))
-    ids, starts = np.concatenate([own, ids]), np.concatenate([np.arange(len(own)), starts + len(own)])
-    chosen = np.array(chosen, np.int64)
-    out = []
-    for first, last in zip(bounds, bounds[1:], strict=False):
-        out.append(gathered(ids, starts, chosen[first:last])[0])
-    return out
+        self.taken.append(np.array(chosen, np.int32))
+
+    def ids(self) -> Iterator[np.ndarray]:
+        """Ids of each text, in the order taken."""
+        own = np.fromiter(self.known.special.values(), np.int32, len(self.known.special))
+        words = [w.encode() for w in self.numbers][len(own) :]
+        self.numbers.clear()
+        ids, starts = merge_words(words, self.known) if words else (np.zeros(0, np.int32), np.zeros(1, np.int64))
+        ids, starts = np.concatenate([own, ids]), np.concatenate([np.arange(len(own)), starts + len(own)])
+        for chosen in self.taken:
+            yield gathered(ids, starts, chosen)[0]
+
+
+def encode(texts: list[str], known: Vocabulary) -> list[np.ndarray]:
+    """Ids of each text."""
+    encoder = Encoder(known)
+    for text in texts:
+        encoder.take(text)
+    return list(encoder.ids())
 
 
 def decode(encoded: list[np.ndarray], known: Vocabulary) -> list[bytes]:
@@ -235,55 +250,58 @@ def decode(encoded: list[np.ndarray], known: Vocabulary) -> list[bytes]:
     return out
 
 
-def _coded(path: str):
+def _coded(path: str, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path)
-        rows, size = [], 0
-
-        def coded(batch: pa.RecordBatch, encoded: list[np.ndarray]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns,
-                    pa.array([len(x) for x in encoded], pa.int64()),
-                    pa.array([x.astype("<u4").tobytes() for x in encoded], pa.binary()),
-                    pa.array(decode(encoded, known), pa.binary()).cast(pa.string()),
-                ],
-                names=[*batch.schema.names, "n_tokens", "ids", "decoded"],
-            )
-
-        def flushed() -> Iterator[pa.RecordBatch]:
-            encoded = encode([t or "" for part in rows for t in part.column("text").to_pylist()], known)
-            at = 0
-            for part in rows:
-                yield coded(part.drop_columns(["text"]), encoded[at : at + part.num_rows])
-                at += part.num_rows
+        encoder, doc_ids, size = Encoder(known), [], 0
+
+        def batch_of(doc_ids: pa.Array, encoded: list[np.ndarray]) -> pa.RecordBatch:
+            columns = {
+                "doc_id": doc_ids,
+                "n_tokens": pa.array([len(x) for x in encoded], pa.int64()),
+                "ids": pa.array([x.astype("<u4").tobytes() for x in encoded], pa.binary()),
+            }
+            if decoded:
+                columns["decoded"] = pa.array(decode(encoded, known), pa.binary()).cast(pa.string())
+            return pa.RecordBatch.from_pydict(columns)
+
+        def handed() -> Iterator[pa.RecordBatch]:
+            whole, part, first, weight = pa.concat_arrays(doc_ids), [], 0, 0
+            for ids in encoder.ids():
+                part.append(ids)
+                weight += len(ids)
+                if weight >= OUT_TOKENS:
+                    yield batch_of(whole.slice(first, len(part)), part)
+                    part, first, weight = [], first + len(part), 0
+            yield batch_of(whole.slice(first), part)
 
         for batch in batches:
-            sizes = np.cumsum([len(t.as_buffer() or b"") if t.is_valid else 0 for t in batch.column("text")])
-            first = 0
-            while first < batch.num_rows:
-                had = int(sizes[first - 1]) if first else 0
-                last = max(first + 1, int(np.searchsorted(sizes, had + OUT_BYTES, "right")))
-                rows.append(batch.slice(first, last - first))
-                size += int(sizes[last - 1]) - had
-                first = last
-                if size >= TEXT_BYTES:
-                    yield from flushed()
-                    rows.clear()
-                    size = 0
-        if rows:
-            yield from flushed()
+            texts, at = batch.column("text"), 0
+            for i in range(batch.num_rows):
+                text = texts[i].as_py() or ""
+                encoder.take(text)
+                size += len(text)
+                if size >= TEXT_CHARS:
+                    doc_ids.append(batch.column("doc_id").slice(at, i + 1 - at))
+                    yield from handed()
+                    encoder, doc_ids, size, at = Encoder(known), [], 0, i + 1
+            doc_ids.append(batch.column("doc_id").slice(at))
+        if doc_ids:
+            yield from handed()
 
     return run
 
 
-def coded(docs: DataFrame, path: str) -> DataFrame:
+def coded(docs: DataFrame, path: str, decoded: bool = True) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) of every text: ids as little-endian unsigned 32-bit numbers.
 
+    ``decoded`` says whether the ids are decoded again; else that column is left out.
+
     ``path`` names the tokenizer's file, which every executor has. The text is whole,
     however long. A null or empty text has no ids and decodes to an empty text; the
     special tokens' spellings in a text are those tokens. Rows, repeated or with a null
     ``doc_id``, stay one each; other columns of ``docs`` are ignored.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_coded(path), f"doc_id {id_type}, n_tokens long, ids binary, decoded string")
+    schema = f"doc_id {id_type}, n_tokens long, ids binary" + ", decoded string" * decoded
+    return docs.select("doc_id", "text").mapInArrow(releasing(_coded(path, decoded)), schema)

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinis.llm.scratch import Scratch
+from affinis.llm.tasks import releasing
 
 BITS = 64
 DISTANCE = 3
@@ -64,7 +65,7 @@ def _fingerprints(size: int):
 
 
 def fingerprints(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_fingerprints(size), "doc_id long, print long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(releasing(_fingerprints(size)), "doc_id long, print long")
 
 
 def bit_groups(sample: np.ndarray, groups: int) -> list[list[int]]:
@@ -231,7 +232,7 @@ def links(prints: DataFrame, scratch: Scratch, distance: int = DISTANCE) -> Data
         )
         .filter((F.size("own") > 0) & (F.size("probing") > 0))
     )
-    return cells.select("own", "probing").mapInArrow(_links(distance), "a long, b long").distinct()
+    return cells.select("own", "probing").mapInArrow(releasing(_links(distance)), "a long, b long").distinct()
 
 
 def smallest_reachable(edges: DataFrame, scratch: Scratch) -> DataFrame:

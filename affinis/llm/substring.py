@@ -24,9 +24,11 @@ from pyspark.sql import types as T
 
 from affinis.llm.decontaminate import filter_words, passes
 from affinis.llm.scratch import Scratch
+from affinis.llm.tasks import releasing
 from affinis.llm.words import STEP, Words, byte_slices, mix, plain, spans
 
 WINDOW = 35
+ROWS_AT_ONCE = 500  # rows in one batch handed on
 #: Rounds: what is joined, and the longest symbol (in words) that takes part.
 ROUNDS = [("run", 1), ("pair", 1), ("pair", 1), ("pair", 1), ("pair", 2), ("pair", 2)]
 REACH = sum(longest for _, longest in ROUNDS)
@@ -169,28 +171,32 @@ def _windows(window: int):
 def _kept(window: int):
     """Cover the repeated windows and join what is left."""
 
+    def kept(batch: pa.RecordBatch) -> pa.RecordBatch:
+        totals, removed, left = [], [], []
+        repeated = batch.column("repeated") if "repeated" in batch.schema.names else None
+        for i, text in enumerate(batch.column("text")):
+            words = text.as_buffer().to_pybytes().split() if text.is_valid else []
+            gone = 0
+            totals.append(len(words))
+            if repeated is not None and repeated[i].is_valid and len(repeated[i]):
+                starts = np.asarray(repeated[i].values, np.int64)
+                edges = np.zeros(len(words) + 1, np.int64)
+                np.add.at(edges, starts, 1)
+                np.add.at(edges, starts + window, -1)
+                free = np.cumsum(edges[:-1]) == 0
+                gone = len(words) - int(free.sum())
+                words = [words[j] for j in np.flatnonzero(free).tolist()]
+            removed.append(gone)
+            left.append(b" ".join(words))
+        return pa.RecordBatch.from_arrays(
+            [batch.column("row"), batch.column("text"), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(left, pa.binary()).cast(pa.string())],
+            names=["row", "text", "n_words", "n_removed", "kept"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            totals, removed, left = [], [], []
-            repeated = batch.column("repeated") if "repeated" in batch.schema.names else None
-            for i, text in enumerate(batch.column("text")):
-                words = text.as_buffer().to_pybytes().split() if text.is_valid else []
-                gone = 0
-                totals.append(len(words))
-                if repeated is not None and repeated[i].is_valid and len(repeated[i]):
-                    starts = np.asarray(repeated[i].values, np.int64)
-                    edges = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(edges, starts, 1)
-                    np.add.at(edges, starts + window, -1)
-                    free = np.cumsum(edges[:-1]) == 0
-                    gone = len(words) - int(free.sum())
-                    words = [words[j] for j in np.flatnonzero(free).tolist()]
-                removed.append(gone)
-                left.append(b" ".join(words))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("text"), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(left, pa.binary()).cast(pa.string())],
-                names=["row", "text", "n_words", "n_removed", "kept"],
-            )
+            for first in range(0, batch.num_rows, ROWS_AT_ONCE):
+                yield kept(batch.slice(first, ROWS_AT_ONCE))
 
     return run
 
@@ -209,25 +215,25 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, scratch: Scratch | No
     others = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
     texts = docs.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
-    counted = texts.mapInArrow(_cuts(window, False), "cut long, n long").groupBy("cut").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(releasing(_cuts(window, False)), "cut long, n long").groupBy("cut").agg(F.sum("n").alias("n"))
     again = scratch.written(counted.filter("n > 1").select("cut"), "again")
-    owners = texts.mapInArrow(_cuts(window, True), "cut long, key long")
+    owners = texts.mapInArrow(releasing(_cuts(window, True)), "cut long, key long")
     lists = scratch.written(owners.join(again, "cut").groupBy("key").agg(F.collect_set("cut").alias("cuts")), "lists")
     sent = spark.sparkContext.broadcast(filter_words(lists, "key", lists.count()))
     row_type = rows.schema["row"].dataType
     plain_rows = T.StructType([T.StructField("row", row_type), T.StructField("text", T.StringType()), T.StructField("key", T.LongType())])
     whole = scratch.written(
-        rows.mapInArrow(_in_question(sent, True), plain_rows).join(lists, "key", "left").drop("key").withColumn("row_at", F.monotonically_increasing_id()),
+        rows.mapInArrow(releasing(_in_question(sent, True)), plain_rows).join(lists, "key", "left").drop("key").withColumn("row_at", F.monotonically_increasing_id()),
         "in-question",
     )
-    held = whole.filter("cuts is not null").select("text", "cuts", "row_at").mapInArrow(_windows(window), "cut long, hash long, row_at long, at int")
+    held = whole.filter("cuts is not null").select("text", "cuts", "row_at").mapInArrow(releasing(_windows(window)), "cut long, hash long, row_at long, at int")
     repeated = held.groupBy("cut", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     places = held.join(repeated, ["cut", "hash"], "left_semi").groupBy("row_at").agg(F.collect_list("at").alias("repeated"))
     out = T.StructType(
         [T.StructField("row", row_type), T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
     )
-    changed = whole.select("row", "text", "row_at").join(places, "row_at", "left").select("row", "text", "repeated").mapInArrow(_kept(window), out)
-    untouched = rows.mapInArrow(_in_question(sent, False), plain_rows).select("row", "text").mapInArrow(_kept(window), out)
+    changed = whole.select("row", "text", "row_at").join(places, "row_at", "left").select("row", "text", "repeated").mapInArrow(releasing(_kept(window)), out)
+    untouched = rows.mapInArrow(releasing(_in_question(sent, False)), plain_rows).select("row", "text").mapInArrow(releasing(_kept(window)), out)
     return changed.unionByName(untouched)
 
 

@@ -21,12 +21,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinis.llm.scratch import Scratch
+from affinis.llm.tasks import releasing
 
 FIT_ROWS = 20_000  # labelled rows at most that the lexicon and the model are learned from
 SUPPORT = 8  # different surroundings in toxic texts that a word or beginning needs
 LEAST_ODDS = 3.0  # log odds from which it is an insult
 BEGINNINGS = (4, 5, 6, 7)
 THRESHOLD = 0.7
+ROWS_AT_ONCE = 500  # rows in one batch handed on
 WORD = re.compile(r"[^\W\d_]+")
 CLAUSE = re.compile(r"[.!?;:\n]+")
 
@@ -163,16 +165,23 @@ def learning_rows(docs: DataFrame, labels: DataFrame, scratch: Scratch, rows: in
 
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(feature, about): a word's features with a hash of its neighbours, so that copies count once."""
+    """(feature, about): a word's features with its neighbours, so that copies count once."""
+    seen: set[tuple[str, str]] = set()
+
+    def handed() -> pa.RecordBatch:
+        rows = list(seen)
+        seen.clear()
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in (0, 1)], names=["feature", "about"])
+
     for batch in batches:
-        seen = set()
-        for text in batch.column("text").to_pylist():
-            words = ["", *WORD.findall((text or "").lower()), ""]
+        for text in batch.column("text"):
+            words = ["", *WORD.findall((text.as_py() or "").lower()), ""]
             for i in range(1, len(words) - 1):
                 about = f"{words[i - 1]} {words[i + 1]}"
                 seen.update((f, about) for f in features_of(words[i]))
-        rows = list(seen)
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in (0, 1)], names=["feature", "about"])
+                if len(seen) > 50_000:
+                    yield handed()
+    yield handed()
 
 
 def _in_texts(wanted):
@@ -181,8 +190,8 @@ def _in_texts(wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, total = wanted.value, Counter()
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                total.update({f for w in set(WORD.findall((text or "").lower())) for f in features_of(w)} & known)
+            for text in batch.column("text"):
+                total.update({f for w in set(WORD.findall((text.as_py() or "").lower())) for f in features_of(w)} & known)
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["feature", "n"])
 
     return run
@@ -192,7 +201,7 @@ def _marks_of(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(sent.value)
         for batch in batches:
-            marks = [lexicon.marks(t).tolist() for t in batch.column("text").to_pylist()]
+            marks = [lexicon.marks(t.as_py()).tolist() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(marks, pa.list_(pa.float64()))], names=["toxic", "marks"])
 
     return run
@@ -224,7 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, scratch: Scrat
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     offers = (
         sample.filter("toxic = 1")
-        .mapInArrow(_surroundings, "feature string, about string")
+        .mapInArrow(releasing(_surroundings), "feature string, about string")
         .distinct()
         .groupBy("feature")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -235,13 +244,13 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, scratch: Scrat
     in_bad, in_good = (
         {
             r.feature: r.n
-            for r in sample.filter(F.col("toxic") == kind).mapInArrow(_in_texts(wanted), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
+            for r in sample.filter(F.col("toxic") == kind).mapInArrow(releasing(_in_texts(wanted)), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
         }
         for kind in (1, 0)
     )
     odds = {f: float(np.log((n + 0.5) / (bad + 1)) - np.log((in_good.get(f, 0) + 0.5) / (good + 1))) for f, n in in_bad.items()}
     lexicon = {f: o for f, o in odds.items() if o >= LEAST_ODDS}
-    marked = sample.mapInArrow(_marks_of(spark.sparkContext.broadcast(lexicon)), "toxic int, marks array<double>").collect()
+    marked = sample.mapInArrow(releasing(_marks_of(spark.sparkContext.broadcast(lexicon))), "toxic int, marks array<double>").collect()
     if not bad or not good:
         rate = min(max(bad / max(1, bad + good), 1e-9), 1 - 1e-9)
         return Model({}, [0.0] * len(MARKS) + [float(np.log(rate / (1 - rate)))])
@@ -255,19 +264,19 @@ def _scores(sent):
         lexicon = Lexicon(model.lexicon)
         for batch in batches:
             scores = [model.score(lexicon.marks(t.as_py())) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     return run
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, text, score) of every row; the whole text is read. A null text scores like an empty one.
+    """(doc_id, score) of every row; the whole text is read. A null text scores like an empty one.
 
     Repeated rows and null ids stay one row each; other columns are ignored.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select("doc_id", "text").mapInArrow(_scores(sent), f"doc_id {id_type}, text string, score double")
+    return docs.select("doc_id", "text").mapInArrow(releasing(_scores(sent)), f"doc_id {id_type}, score double")
 
 
 def predicted(threshold: float = THRESHOLD) -> Column:
@@ -281,8 +290,9 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(model.value.lexicon)
-        for batch in batches:
-            texts = batch.column("text")
-            yield batch.filter(pa.array([model.value.score(lexicon.marks(t.as_py())) < threshold for t in texts], pa.bool_()))
+        for whole in batches:
+            for first in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(first, ROWS_AT_ONCE)
+                yield batch.filter(pa.array([model.value.score(lexicon.marks(t.as_py())) < threshold for t in batch.column("text")], pa.bool_()))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)
