@@ -38,7 +38,7 @@ def drop_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids): ids as little-endian unsigned 32-bit numbers."""
-    return bpe.coded(docs, TOKENIZER).drop("decoded")
+    return bpe.coded(docs, TOKENIZER, decoded=False)
 
 
 STAGES = [
