@@ -111,6 +111,21 @@ def positions(
     )
 
 
+def running_total(df: DataFrame, order: Sequence[str], value: str, name: str, ranges: int | None = None) -> DataFrame:
+    """Add the sum of ``value`` over all rows that come before in the order of a unique key."""
+    order = list(order)
+    ranged = in_ranges(df, order, split_points(df, order, order, ranges))
+    local = Window.partitionBy(RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.broadcast(_range_counts(ranged, [], F.col(value)).select(RANGE, "__before"))  # one row per range
+    summed = F.coalesce(F.sum(value).over(local), F.lit(0))
+    return (
+        ranged.withColumn(name, summed)
+        .join(before, RANGE)
+        .withColumn(name, F.col(name) + F.col("__before"))
+        .drop(RANGE, "__before")
+    )
+
+
 def cumulative_share(
     df: DataFrame,
     group: str,

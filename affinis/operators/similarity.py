@@ -19,6 +19,7 @@ from affinis.operators.topk import check_k, top_k
 from affinis.session import fits_broadcast, salts, written
 
 JOIN_SALTS = 16
+SQUARE_BLOCK = 1_000  # entities of one side of a piece of a square matrix
 HOT_TOKEN_ROWS = 100_000
 DENSE_QUERY_BLOCK = 1_000
 DENSE_SLICE = 50_000
@@ -191,16 +192,23 @@ def nearest(
 
 
 def square_scores(vectors: DataFrame, ids: DataFrame, entity: str) -> DataFrame:
-    """Cosine of every ordered pair of a short list of entities, zeros included."""
-    if not fits_broadcast(ids, 2_000):
-        raise ValueError("the list is for a square matrix: at most 2000 entities")
-    chosen = written(vectors.join(F.broadcast(ids.select(entity).distinct()), entity), "chosen")
+    """Cosine of every ordered pair of the listed entities, zeros included.
+
+    The caller answers for the list: its square is the result. Both sides are dealt to
+    blocks, and each pair of blocks is a piece of work of its own.
+    """
+    chosen = written(vectors.join(ids.select(entity).distinct(), entity), "chosen")
     left, right = "left_id", "right_id"
     scores = cosine_scores(
         chosen.withColumnRenamed(entity, left), chosen.withColumnRenamed(entity, right), left, right
     )
-    listed = chosen.agg(F.collect_list(entity)).scalar()
-    cells = chosen.select(F.col(entity).alias(left), F.explode(listed).alias(right))
+    blocks = max(1, -(-chosen.count() // SQUARE_BLOCK))
+
+    def dealt(name: str, own: str, other: str) -> DataFrame:
+        place = F.pmod(F.xxhash64(entity), F.lit(blocks)).cast("int")
+        return chosen.select(F.col(entity).alias(name), place.alias(own), F.explode(salts(blocks)).alias(other))
+
+    cells = dealt(left, "__i", "__j").join(dealt(right, "__j", "__i"), ["__i", "__j"]).select(left, right)
     return cells.join(scores, [left, right], "left").na.fill(0.0, ["score"])
 
 

@@ -151,6 +151,18 @@ def density(counts: DataFrame, entity: str) -> DataFrame:
     )
 
 
+def tf_idf(counts: DataFrame, entity: str) -> DataFrame:
+    """(entity, token, cnt, weight): counts times ln((1 + n) / (1 + df)) + 1, over the n entities of the counts.
+
+    ``counts`` is read several times: pass a written table when it is dear to compute.
+    """
+    n = counts.select(entity).distinct().count()
+    idf = F.log((1.0 + n) / (1 + F.col("df"))) + 1
+    weighted = token_statistics(counts).select("token", "df", idf.alias("idf"))
+    known = weighted_lookup(counts.filter(F.col("token").isNotNull()), weighted, ["token"], "df", entity)
+    return known.select(entity, "token", "cnt", (F.col("cnt") * F.col("idf")).alias("weight"))
+
+
 def top_tokens(statistics: DataFrame, n: int = TOP_TOKENS) -> DataFrame:
     """The ``n`` most frequent tokens, ties by token."""
     return statistics.orderBy(F.desc("tf"), "token").limit(n)

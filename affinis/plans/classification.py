@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from affinis.functions.vectors import cross_entropy, sigmoid
+from affinis.operators import metrics
 from affinis.operators.classifier import GradientDescent, gradient_step
 from affinis.plans.registry import query, table
 
@@ -128,3 +129,61 @@ def converged_fit(spark, sf):
     model = fitted(spark, sf, iterations=200, tolerance=1e-4)
     row = (model.iterations_run, model.converged, round(model.losses[-1], 6))
     return spark.createDataFrame([row], "iterations_run bigint, converged boolean, loss double")
+
+
+SQL_LABELLED = """labelled AS (SELECT doc_id, n_chars % 997 AS score, toxic AS label, CAST(n_chars % 997 > 500 AS INTEGER) AS said
+  FROM documents JOIN labels USING (doc_id))"""
+
+
+def labelled(spark, sf):
+    """Labelled documents with a score and a prediction made from their length."""
+    score = F.col("n_chars") % 997
+    both = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    return both.select("doc_id", score.alias("score"), F.col("toxic").alias("label"), (score > 500).cast("int").alias("said"))
+
+
+@query(
+    "confusion_matrix",
+    f"""WITH {SQL_LABELLED}, c AS (SELECT count(*) FILTER (label = 1 AND said = 1) AS tp, count(*) FILTER (label = 0 AND said = 1) AS fp,
+    count(*) FILTER (label = 0 AND said = 0) AS tn, count(*) FILTER (label = 1 AND said = 0) AS fn FROM labelled)
+    SELECT *, round(tp / (tp + fp), 9) AS precision, round(tp / (tp + fn), 9) AS recall,
+    round(2 * tp / (2 * tp + fp + fn), 9) AS f1, round((tp + tn) / (tp + fp + tn + fn), 9) AS accuracy FROM c""",
+)
+def confusion_matrix(spark, sf):
+    return metrics.confusion(labelled(spark, sf), "label", "said").withColumns(
+        {c: F.round(c, 9) for c in ("precision", "recall", "f1", "accuracy")}
+    )
+
+
+@query(
+    "ranking_metrics",
+    f"""WITH {SQL_LABELLED}, s AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM labelled GROUP BY score),
+    b AS (SELECT *, coalesce(sum(pos) OVER before, 0) AS pos_below, coalesce(sum(neg) OVER before, 0) AS neg_below,
+      sum(pos) OVER () AS p, sum(neg) OVER () AS n FROM s WINDOW before AS (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    SELECT CAST(max(p) AS BIGINT) AS n_positive, CAST(max(n) AS BIGINT) AS n_negative,
+      round(CAST(sum(pos * (neg_below + neg / 2)) / (max(p) * max(n)) AS DOUBLE), 9) AS roc_auc,
+      round(CAST(sum(pos * (p - pos_below) / (p - pos_below + n - neg_below)) / max(p) AS DOUBLE), 9) AS average_precision FROM b""",
+)
+def ranking_metrics(spark, sf):
+    return metrics.ranking(labelled(spark, sf), "label", "score").withColumns(
+        {c: F.round(c, 9) for c in ("roc_auc", "average_precision")}
+    )
+
+
+@query(
+    "class_weights",
+    f"""WITH {SQL_LABELLED} SELECT label, count(*) AS n,
+    round((SELECT count(*) FROM labelled) / (2.0 * count(*)), 9) AS weight FROM labelled GROUP BY label""",
+)
+def class_weights(spark, sf):
+    return metrics.class_weights(labelled(spark, sf), "label").withColumn("weight", F.round("weight", 9))
+
+
+@query(
+    "undersampled_classes",
+    f"""WITH {SQL_LABELLED}, c AS (SELECT label, count(*) AS n, min(count(*)) OVER () AS least FROM labelled GROUP BY label)
+    SELECT doc_id, label FROM labelled JOIN c USING (label)
+    WHERE n = least OR CAST('0x' || left(md5(doc_id || ':42'), 8) AS BIGINT) / 4294967296.0 < least::DOUBLE / n""",
+)
+def undersampled_classes(spark, sf):
+    return metrics.undersampled(labelled(spark, sf), "label", "doc_id").select("doc_id", "label")

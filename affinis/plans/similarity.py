@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from affinis.functions import vectors as V
 from affinis.operators import similarity as sim
 from affinis.operators import topk
 from affinis.operators import vocabulary as voc
+from affinis.operators.ordering import positions
 from affinis.plans import orders_profile as op
 from affinis.plans.registry import query, table
 from affinis.plans.text import SQL_DOC_TERMS
@@ -150,8 +150,9 @@ SQL_PAIRS = """pairs AS (SELECT a.vec_id AS left_id, b.vec_id AS right_id,
 def _pairs(spark, sf):
     """Each vector with the next one of its label."""
     dense = table(spark, sf, "embeddings")
-    following = F.lead("vec_id").over(Window.partitionBy("label").orderBy("vec_id"))
-    ids = dense.select(F.col("vec_id").alias("left_id"), following.alias("right_id")).dropna()
+    placed = written(positions(dense.select("label", "vec_id"), ["vec_id"], ["label"]), "placed")
+    after = placed.select("label", (F.col("position") - 1).alias("position"), F.col("vec_id").alias("right_id"))
+    ids = placed.withColumnRenamed("vec_id", "left_id").join(after, ["label", "position"]).select("left_id", "right_id")
     left = dense.select(F.col("vec_id").alias("left_id"), F.col("embedding").alias("u"))
     right = dense.select(F.col("vec_id").alias("right_id"), F.col("embedding").alias("v"))
     return ids.join(left, "left_id").join(right, "right_id")

@@ -70,28 +70,37 @@ def vocabulary_with_limits(spark, sf):
     return limited_vocabulary(spark, sf)
 
 
+SQL_FROZEN = SQL_DOC_TERMS + """,
+known AS MATERIALIZED (SELECT token, row_number() OVER (ORDER BY token) - 1 AS idx FROM stats)"""
+
+
+def frozen_vocabulary(spark, sf):
+    """Every token of the documents, written once."""
+    return written(voc.fit_vocabulary(written(document_counts(spark, sf), "counts")), "vocabulary")
+
+
 @query(
     "frozen_transform",
-    f"""WITH {SQL_LIMITED},
+    f"""WITH {SQL_FROZEN},
     asked AS (SELECT item_id, unnest({op.sql_tokens('text')}) AS token FROM benchmark)
-    SELECT item_id, idx, token, count(*) AS cnt FROM asked JOIN limited USING (token) GROUP BY ALL""",
+    SELECT item_id, idx, token, count(*) AS cnt FROM asked JOIN known USING (token) GROUP BY ALL""",
 )
 def frozen_transform(spark, sf):
-    known = written(limited_vocabulary(spark, sf), "vocabulary")
+    known = frozen_vocabulary(spark, sf)
     vectors = voc.term_vectors(table(spark, sf, "benchmark"), "item_id", "text", False, known)
     return voc.indexed_terms(vectors, known, "item_id")
 
 
 @query(
     "frozen_transform_lengths",
-    f"""WITH {SQL_LIMITED},
+    f"""WITH {SQL_FROZEN},
     asked AS (SELECT item_id, unnest({op.sql_tokens('text')}) AS token FROM benchmark),
-    hits AS (SELECT item_id, token, count(*) AS cnt FROM asked JOIN limited USING (token) GROUP BY ALL)
+    hits AS (SELECT item_id, token, count(*) AS cnt FROM asked JOIN known USING (token) GROUP BY ALL)
     SELECT b.item_id, CAST(coalesce(sum(cnt), 0) AS BIGINT) AS l1 FROM benchmark b LEFT JOIN hits USING (item_id)
     GROUP BY b.item_id""",
 )
 def frozen_transform_lengths(spark, sf):
-    known = limited_vocabulary(spark, sf)
+    known = frozen_vocabulary(spark, sf)
     return voc.term_vectors(table(spark, sf, "benchmark"), "item_id", "text", False, known).select("item_id", "l1")
 
 
@@ -121,6 +130,16 @@ def vocabulary_summary(spark, sf):
     return voc.density(document_counts(spark, sf), "doc_id").withColumn("density", F.round("density", 9))
 
 
+@query(
+    "tf_idf",
+    f"""WITH {SQL_DOC_TERMS} SELECT doc_id, token, cnt,
+    round(cnt * (ln((1.0 + (SELECT count(*) FROM documents)) / (1 + df)) + 1), 6) AS weight FROM doc_terms JOIN stats USING (token)""",
+)
+def tf_idf(spark, sf):
+    weighted = voc.tf_idf(written(document_counts(spark, sf), "counts"), "doc_id")
+    return weighted.withColumn("weight", F.round("weight", 6))
+
+
 @query("stemmed_vocabulary")
 def stemmed_vocabulary(spark, sf):
     """Vocabulary of stems over the profile texts (the rule table has no SQL form)."""
