@@ -1,5 +1,5 @@
 import pytest
-from conftest import PROFILES
+from crafts import PROFILES
 from pyspark.sql import functions as F
 
 from affinis.operators import lookup, recommend
