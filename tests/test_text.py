@@ -58,6 +58,11 @@ def test_names(spark):
         ("bovinocultura", "bovinocultur"),
         ("avicultura", "avicultur"),
         ("caprinos", "caprin"),
+        ("falaremos", "fal"),
+        ("comeremos", "com"),
+        ("cantaríamos", "cant"),
+        ("partiremos", "part"),
+        ("falássemos", "fal"),
         ("sul_sudoeste_de_minas", "sul_sudoeste_de_minas"),
         ("especializado_em_bovinocultura", "especializado_em_bovinocultura"),
         ("s", "s"),
