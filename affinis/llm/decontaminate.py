@@ -72,7 +72,7 @@ def _sketches(size: int, threshold: float):
 
 def filter_words(hashes: DataFrame, column: str, count: int) -> np.ndarray:
     """A Bloom filter with two bits for each hash, of a bounded number of bits."""
-    bits = min(FILTER_BITS, max(16, (count * 16).bit_length()))
+    bits = min(FILTER_BITS, max(20, (count * 64).bit_length()))
     places = hashes.select(
         F.explode(
             F.array(
