@@ -26,16 +26,28 @@ LEAST = 2  # occurrences from which an n-gram of two words or more is kept
 BACKOFF = 0.4
 STRETCH_BYTES = 8 << 20  # of text
 TABLE_BYTES = 8 << 20  # of hashes, about, in one part of the count table
+TEXT_LEVEL = 9  # of compression; texts are written once and moved once
+
+
+def packed_grams(grams: np.ndarray) -> bytes:
+    """Sorted hashes by their distances, byte by byte: the upper bytes are nearly all zero."""
+    planes = np.diff(grams, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return pa.Codec("zstd", compression_level=1).compress(planes.tobytes(), asbytes=True)
+
+
+def unpacked_grams(packed: bytes, count: int) -> np.ndarray:
+    planes = np.frombuffer(pa.Codec("zstd").decompress(packed, 8 * count), np.uint8).reshape(8, count)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (doc_ids, sizes, texts, n_words): the texts of a stretch, one after another, packed."""
-    ids, texts, size = [], [], 0
+    ids, texts, size, text_codec = [], [], 0, pa.Codec("zstd", compression_level=TEXT_LEVEL)
 
     def packed() -> pa.RecordBatch:
         sizes = np.fromiter(map(len, texts), "<i8", len(texts))
         return pa.RecordBatch.from_arrays(
-            [pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(ids[0].type)), pa.array([sizes.tobytes()], pa.binary()), pa.array([zlib.compress(b"".join(texts), 1)], pa.binary()), pa.array([words], pa.int64())],
+            [pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(ids[0].type)), pa.array([sizes.tobytes()], pa.binary()), pa.array([text_codec.compress(b"".join(texts), asbytes=True)], pa.binary()), pa.array([words], pa.int64())],
             names=["doc_ids", "sizes", "texts", "n_words"],
         )
 
@@ -59,7 +71,7 @@ class Stretch:
 
     def __init__(self, sizes: bytes, texts: bytes, order: int):
         bounds = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, "<i8"))])
-        data = zlib.decompress(texts)
+        data = pa.Codec("zstd").decompress(texts, int(bounds[-1]), asbytes=True)
         whole = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype("<i8").tobytes()), pa.py_buffer(data))
         hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for first, last in byte_slices(whole):
@@ -104,7 +116,7 @@ def _asked(order: int, bits: int):
                     [
                         pa.array(full.astype(np.int32)),
                         pa.array([number.as_py()] * len(full), pa.int64()),
-                        pa.array([own.grams[cuts[p] : cuts[p + 1]].tobytes() for p in full], pa.binary()),
+                        pa.array([packed_grams(own.grams[cuts[p] : cuts[p + 1]]) for p in full], pa.binary()),
                         pa.array([zlib.compress(own.numbers[cuts[p] : cuts[p + 1]].astype("<u4").tobytes(), 1) for p in full], pa.binary()),
                     ],
                     names=["part", "stretch", "grams", "numbers"],
@@ -118,8 +130,8 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, rows = None, []
 
     def answered() -> pa.RecordBatch:
-        grams = [np.frombuffer(r[1], np.uint64) for r in rows]
         numbers = [np.frombuffer(zlib.decompress(r[2]), "<u4") for r in rows]
+        grams = [unpacked_grams(r[1], len(own)) for r, own in zip(rows, numbers, strict=True)]
         known, inverse = np.unique(np.concatenate(grams), return_inverse=True)
         total = np.zeros(len(known), np.int64)
         np.add.at(total, inverse, np.concatenate(numbers).astype(np.int64))

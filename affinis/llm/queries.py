@@ -72,6 +72,26 @@ def op5(spark, sf):
     return found.withColumn("log_score", F.round("log_score", 3))
 
 
+SQL_LM_TRIGRAMS = f"""WITH d AS (SELECT doc_id, row_number() OVER () AS r, {SQL_WORDS} AS w FROM documents),
+t AS MATERIALIZED (SELECT r, unnest(w) AS w, unnest(range(len(w))) AS i FROM d),
+b AS MATERIALIZED (SELECT a.r, q.w AS v, p.w AS u, a.w FROM t a LEFT JOIN t p ON p.r = a.r AND p.i = a.i - 1 LEFT JOIN t q ON q.r = a.r AND q.i = a.i - 2),
+c1 AS MATERIALIZED (SELECT w, count(*) AS n FROM t GROUP BY w),
+c2 AS MATERIALIZED (SELECT u, w, count(*) AS n FROM b WHERE u IS NOT NULL GROUP BY u, w HAVING count(*) >= 2),
+c3 AS MATERIALIZED (SELECT v, u, w, count(*) AS n FROM b WHERE v IS NOT NULL GROUP BY v, u, w HAVING count(*) >= 2),
+s AS (SELECT r, count(*) AS n_words, count(c2.n) AS n_seen, sum(CASE WHEN c3.n IS NOT NULL THEN ln(c3.n / g.n)
+    ELSE CASE WHEN b.v IS NULL THEN 0 ELSE ln(0.4) END + CASE WHEN c2.n IS NOT NULL THEN ln(c2.n / h.n)
+    ELSE ln(o.n / (SELECT count(*) FROM t)) + CASE WHEN b.u IS NULL THEN 0 ELSE ln(0.4) END END END) AS score
+  FROM b JOIN c1 o ON o.w = b.w LEFT JOIN c1 h ON h.w = b.u LEFT JOIN c2 ON c2.u = b.u AND c2.w = b.w
+  LEFT JOIN c2 g ON g.u = b.v AND g.w = b.u LEFT JOIN c3 ON c3.v = b.v AND c3.u = b.u AND c3.w = b.w GROUP BY r)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_seen, 0) AS n_seen, round(coalesce(score, 0), 3) AS log_score FROM d LEFT JOIN s USING (r)"""
+
+
+@query("op5_lm_score_trigrams", SQL_LM_TRIGRAMS)
+def op5_trigrams(spark, sf):
+    found = lm.scored(table(spark, sf, "documents"), order=3)
+    return found.withColumn("log_score", F.round("log_score", 3))
+
+
 SQL_TOP_K = """WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (

@@ -2,11 +2,13 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import docs_of, prose
 
-from affinis.llm import lm
+from affinis.llm import lm, queries  # noqa: F401
 from affinis.llm.decontaminate import WORD
+from affinis.llm.registry import REGISTRY
 
 
 def brute(texts, order, least=2, backoff=0.4):
@@ -47,3 +49,17 @@ def test_empty_table_and_null_ids(spark):
     assert lm.scored(docs.limit(0)).count() == 0
     rows = lm.scored(spark.createDataFrame([(None, "a b", 1), (None, None, 2)], "doc_id long, text string, n_words int")).collect()
     assert sorted((r.doc_id, r.n_words) for r in rows) == [(None, 0), (None, 2)]
+
+
+def test_registered_with_trigrams(spark, tmp_path):
+    texts = ["a b c a b c a b d", "x b c", "b c", "a", None]
+    docs_of(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_words, r.n_seen, r.log_score) for r in REGISTRY["op5_lm_score_trigrams"].run(spark, str(tmp_path)).collect()}
+    for i, (n, seen, score) in enumerate(brute(texts, 3)):
+        assert got[i] == (n, seen, pytest.approx(score, abs=1e-3))
+
+
+@pytest.mark.parametrize("size", [0, 1, 5_000])
+def test_packed_grams(size):
+    grams = np.unique(np.random.default_rng(size).integers(0, 1 << 64, size, np.uint64))
+    assert np.array_equal(lm.unpacked_grams(lm.packed_grams(grams), len(grams)), grams)
