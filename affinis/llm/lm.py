@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from affinis.llm.decontaminate import lowered
 from affinis.llm.scratch import Scratch
+from affinis.llm.tasks import releasing
 from affinis.llm.words import NOT_ALNUM, STEP, Words, byte_slices, mix, spans
 
 ORDER = 2
@@ -209,15 +210,15 @@ def scored(
     id_type = docs.schema["doc_id"].dataType.simpleString()
     stretches = scratch.written(
         docs.select("doc_id", "text")
-        .mapInArrow(_stretches, f"doc_ids array<{id_type}>, sizes binary, texts binary, n_words long")
+        .mapInArrow(releasing(_stretches), f"doc_ids array<{id_type}>, sizes binary, texts binary, n_words long")
         .withColumn("stretch", F.monotonically_increasing_id()),
         "stretches",
     )
     everything = stretches.agg(F.sum("n_words")).first()[0] or 0
     bits = max(0, (everything * order * 8 // TABLE_BYTES).bit_length())
-    asked = stretches.mapInArrow(_asked(order, bits), "part int, stretch long, grams binary, numbers binary")
-    totals = asked.repartition(1 << bits, "part").sortWithinPartitions("part").mapInArrow(_totals, "stretch long, part int, totals binary")
+    asked = stretches.mapInArrow(releasing(_asked(order, bits)), "part int, stretch long, grams binary, numbers binary")
+    totals = asked.repartition(1 << bits, "part").sortWithinPartitions("part").mapInArrow(releasing(_totals), "stretch long, part int, totals binary")
     answers = totals.groupBy("stretch").agg(F.collect_list(F.struct("part", "totals")).alias("answers"))
     return stretches.join(answers, "stretch", "left").mapInArrow(
-        _scores(order, least, backoff, everything), f"doc_id {id_type}, n_words long, n_seen long, log_score double"
+        releasing(_scores(order, least, backoff, everything)), f"doc_id {id_type}, n_words long, n_seen long, log_score double"
     )
