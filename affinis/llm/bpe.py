@@ -250,7 +250,7 @@ def decode(encoded: list[np.ndarray], known: Vocabulary) -> list[bytes]:
     return out
 
 
-def _coded(path: str, decoded: bool):
+def _coded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path)
         encoder, doc_ids, size = Encoder(known), [], 0
@@ -260,9 +260,8 @@ def _coded(path: str, decoded: bool):
                 "doc_id": doc_ids,
                 "n_tokens": pa.array([len(x) for x in encoded], pa.int64()),
                 "ids": pa.array([x.astype("<u4").tobytes() for x in encoded], pa.binary()),
+                "decoded": pa.array(decode(encoded, known), pa.binary()).cast(pa.string()),
             }
-            if decoded:
-                columns["decoded"] = pa.array(decode(encoded, known), pa.binary()).cast(pa.string())
             return pa.RecordBatch.from_pydict(columns)
 
         def handed() -> Iterator[pa.RecordBatch]:
@@ -292,16 +291,14 @@ def _coded(path: str, decoded: bool):
     return run
 
 
-def coded(docs: DataFrame, path: str, decoded: bool = True) -> DataFrame:
+def coded(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) of every text: ids as little-endian unsigned 32-bit numbers.
 
-    ``decoded`` says whether the ids are decoded again; else that column is left out.
-
     ``path`` names the tokenizer's file, which every executor has. The text is whole,
     however long. A null or empty text has no ids and decodes to an empty text; the
     special tokens' spellings in a text are those tokens. Rows, repeated or with a null
     ``doc_id``, stay one each; other columns of ``docs`` are ignored.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, n_tokens long, ids binary" + ", decoded string" * decoded
-    return docs.select("doc_id", "text").mapInArrow(releasing(_coded(path, decoded)), schema)
+    schema = f"doc_id {id_type}, n_tokens long, ids binary, decoded string"
+    return docs.select("doc_id", "text").mapInArrow(releasing(_coded(path)), schema)

@@ -4,7 +4,7 @@
 2. SimHash near-dedup: of each component of near copies the document of the smallest id stays.
 3. Substring dedup: passages of 35 words or more that occur again are cut out.
 4. Benchmark decontamination: documents that hold a test item go.
-5. BPE: the ids of what is left.
+5. BPE: the ids of what is left, and the digest of what they decode to.
 
 Each stage works on all that the one before it kept. Any table may be empty; nulls and
 repeated rows are treated as the operators' docstrings say.
@@ -13,6 +13,7 @@ repeated rows are treated as the operators' docstrings say.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from affinis.llm import bpe, decontaminate, simhash, substring, toxicity
 from affinis.llm.queries import TOKENIZER
@@ -37,8 +38,9 @@ def drop_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids): ids as little-endian unsigned 32-bit numbers."""
-    return bpe.coded(docs, TOKENIZER, decoded=False)
+    """(doc_id, n_tokens, ids, decoded_sha256): ids as little-endian unsigned 32-bit numbers, the digest of the text decoded from them."""
+    coded = bpe.coded(docs, TOKENIZER)
+    return coded.select("doc_id", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 STAGES = [

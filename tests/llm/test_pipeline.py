@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import corpus_pipeline
@@ -64,3 +65,14 @@ def test_stages_keep_columns_and_take_empty_tables(spark, tables):
         out = stage(spark, docs, folder)
         assert out.columns == docs.columns and out.count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == 0
+
+
+def test_last_stage_decodes(spark, tables):
+    folder, *_ = tables
+    texts = ["Some words, and MORE of them.", "naïve 日本 <|endoftext|> x", "", None]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS)
+    library = tokenizers.Tokenizer.from_file(TOKENIZER)
+    got = {r.doc_id: r.decoded_sha256 for r in corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()}
+    for i, text in enumerate(texts):
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        assert got[i] == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
