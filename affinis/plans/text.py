@@ -62,7 +62,7 @@ def document_vectors(spark, sf):
     f"WITH {SQL_DOC_TERMS} SELECT token, row_number() OVER (ORDER BY token) - 1 AS idx, tf, df FROM stats",
 )
 def vocabulary(spark, sf):
-    return voc.fit_vocabulary(written(document_counts(spark, sf), "counts"))
+    return voc.fit_vocabulary(document_counts(spark, sf))
 
 
 @query("vocabulary_with_limits", f"WITH {SQL_LIMITED} SELECT * FROM limited")
@@ -76,7 +76,7 @@ known AS MATERIALIZED (SELECT token, row_number() OVER (ORDER BY token) - 1 AS i
 
 def frozen_vocabulary(spark, sf):
     """Every token of the documents, written once."""
-    return written(voc.fit_vocabulary(written(document_counts(spark, sf), "counts")), "vocabulary")
+    return written(voc.fit_vocabulary(document_counts(spark, sf)), "vocabulary")
 
 
 @query(
@@ -144,7 +144,7 @@ def tf_idf(spark, sf):
 def stemmed_vocabulary(spark, sf):
     """Vocabulary of stems over the profile texts (the rule table has no SQL form)."""
     counts = voc.text_counts(op.features(spark, sf), op.SPEC.entity, op.SPEC.text, stemming=True)
-    return voc.fit_vocabulary(written(counts, "counts"))
+    return voc.fit_vocabulary(counts)
 
 
 @query(

@@ -81,7 +81,7 @@ def test_lookups_with_a_heavy_key(spark, monkeypatch, per_salt):
 def test_frozen_vocabulary(spark):
     fit = spark.createDataFrame([(1, "upland ua"), (2, "lowland ub")], "id int, text string")
     vocabulary = voc.fit_vocabulary(voc.token_counts(fit, "id", "text"))
-    asked = spark.createDataFrame([(1, "nordeste mg"), (2, "mg"), (3, None)], "id int, text string")
+    asked = spark.createDataFrame([(1, "upland mg"), (2, "mg"), (3, None)], "id int, text string")
     got = {r["id"]: r["l1"] for r in voc.term_vectors(asked, "id", "text", False, vocabulary).collect()}
     assert got == {1: 1, 2: 0, 3: 0}
 
