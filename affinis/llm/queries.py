@@ -7,6 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from affinis.llm import bpe, chat, decontaminate, html_text, lm, simhash, substring, topk, toxicity, warc
+from affinis.llm import queries_rules  # noqa: F401
 from affinis.llm.registry import query, table
 
 #: Distinct five-word shingles of a text as list; the words are runs of letters and digits.
