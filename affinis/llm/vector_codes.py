@@ -29,9 +29,10 @@ from affinis.llm.words import mix
 from affinis.operators.joins import weighted_lookup
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
-FIT_VECTORS = 1_024  # of the smallest ids, at most, on which the step of the grid is chosen
+FIT_VECTORS = 8_192  # of the smallest ids, at most, on which the step of the grid is chosen
+TRIED = 128  # of these, whose cells are worked out for it
 STEPS = [1 << b for b in range(4, 24, 2)]
-BOX_COST = 4.0  # working out a box for one entry, against comparing one part with it
+BOX_COST = 64.0  # remembering a cell, for each entry, against comparing one part with the entry
 MEMO_CELLS = 20_000  # cells that a task remembers; beyond them it begins anew
 EXACT = 1 << 52  # squared distances up to here are exact as doubles
 LARGEST = (1 << 63) - 1
@@ -60,6 +61,11 @@ def largest_of(values: np.ndarray) -> int:
     return int(max(abs(int(values.max())), abs(int(values.min())))) if values.size else 0
 
 
+def cells_of(parts: np.ndarray, step: int) -> np.ndarray:
+    """Cells of a grid whose middle cell is centred on zero, so that a wide step has few cells."""
+    return (parts + step // 2) // step
+
+
 class Grid:
     """Nearest entries of one part's codebook, by cells of ``step``."""
 
@@ -76,7 +82,7 @@ class Grid:
         """For each cell the entries, in order, that are not dominated across its box."""
         out = []
         for first in range(0, len(cells), 128):
-            low = (cells[first : first + 128] * self.step).astype(np.float64)[:, None]
+            low = (cells[first : first + 128] * self.step - self.step // 2).astype(np.float64)[:, None]
             high = low + (self.step - 1)
             least = (np.maximum(np.maximum(low - self.real, self.real - high), 0) ** 2).sum(axis=2)
             most = (np.maximum(np.abs(self.real - low), np.abs(self.real - high)) ** 2).sum(axis=2)
@@ -117,7 +123,7 @@ class Grid:
         rows = np.flatnonzero(small)
         if not len(rows):
             return best, error
-        cells = parts[rows] // self.step
+        cells = cells_of(parts[rows], self.step)
         keys = mix((cells.astype(np.uint64) * self.odd[: parts.shape[1]]).sum(axis=1, dtype=np.uint64))
         names, first, group = np.unique(keys, return_index=True, return_inverse=True)
         if len(self.known) + len(names) > MEMO_CELLS:
@@ -139,14 +145,19 @@ class Grid:
 
 
 def cheapest_step(entries: np.ndarray, sample: np.ndarray) -> int:
-    """The step with the least work on the sample: boxes of its cells, and comparisons with what they leave."""
-    if not len(sample) or largest_of(np.concatenate([sample, entries])) >= STEPS[-1]:
+    """The step with the least work for each part: entries that its cell leaves, and new cells to work out.
+
+    New cells are what the second half of the sample has and the first lacks.
+    """
+    if len(sample) < 2 or largest_of(np.concatenate([sample, entries])) >= STEPS[-1]:
         return STEPS[-1]
+    half = len(sample) // 2
 
     def cost(step: int) -> float:
-        cells, sizes = np.unique(sample // step, axis=0, return_counts=True)
-        left = np.array([len(c) for c in Grid(entries, step).candidates(cells)])
-        return BOX_COST * len(cells) * len(entries) + float((left * sizes).sum())
+        _, group = np.unique(cells_of(sample, step), axis=0, return_inverse=True)
+        fresh = ~np.isin(group[half:], group[:half])
+        left = Grid(entries, step).candidates(cells_of(sample[:TRIED], step))
+        return float(np.mean([len(c) for c in left])) + BOX_COST * len(entries) * float(fresh.mean())
 
     return min(STEPS, key=cost)
 
