@@ -50,12 +50,16 @@ class GradientDescent:
     def get_params(self) -> dict:
         return asdict(self)
 
-    def fit(self, df: DataFrame, features: Sequence[str], label: str) -> DescentModel:
-        """Fit from zero weights; stop early once the loss changes by less than the tolerance."""
+    def fit(self, df: DataFrame, features: Sequence[str], label: str, weight: str | None = None) -> DescentModel:
+        """Fit from zero weights; stop early once the loss changes by less than the tolerance.
+
+        With ``weight``, gradient and loss are weighted means; weights are not negative, and their sum is positive.
+        """
         features = list(features)
-        check_inputs(df, features, label)
+        check_inputs(df, features, label, weight)
         inputs = [F.col(c).cast("double").alias(f"x{j}") for j, c in enumerate(features)]
-        data = df.select(*inputs, F.col(label).cast("double").alias("y")).persist()
+        weights = [F.col(weight).cast("double").alias("w")] if weight else []
+        data = df.select(*inputs, F.col(label).cast("double").alias("y"), *weights).persist()
         try:
             return self._descend(data, features)
         finally:
@@ -120,24 +124,29 @@ def check_features(df: DataFrame, features: Sequence[str]) -> None:
             raise ValueError(f"feature column {column!r} is not numeric")
 
 
-def check_inputs(df: DataFrame, features: Sequence[str], label: str) -> None:
-    """Columns exist and are numeric, and no value is missing."""
-    check_features(df, [*features, label])
+def check_inputs(df: DataFrame, features: Sequence[str], label: str, weight: str | None = None) -> None:
+    """Columns exist and are numeric, no value is missing, and the weights can be averaged with."""
+    columns = [*features, label, *([weight] if weight else [])]
+    check_features(df, columns)
+    sums = [F.min(weight).cast("double").alias("least"), F.sum(F.col(weight).cast("double")).alias("total")] if weight else []
     row = df.agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col(c).isNull()).alias(f"m{j}") for j, c in enumerate([*features, label])],
+        *[F.count_if(F.col(c).isNull()).alias(f"m{j}") for j, c in enumerate(columns)],
+        *sums,
     ).first()
     if row["n"] == 0:
         raise ValueError("no rows to fit")
-    missing = [c for j, c in enumerate([*features, label]) if row[f"m{j}"]]
+    missing = [c for j, c in enumerate(columns) if row[f"m{j}"]]
     if missing:
         raise ValueError(f"missing values in {missing}")
+    if weight and not (row["least"] >= 0 and 0 < row["total"] < float("inf")):
+        raise ValueError(f"weights in {weight!r} must not be negative and must have a positive, finite sum")
 
 
 def gradient_step(
     data: DataFrame, weights: np.ndarray, bias: float, many_partitions: bool = True
 ) -> tuple[np.ndarray, float]:
-    """Mean gradient (weights, then bias) and mean loss over rows of x0, x1, ..., y."""
+    """Mean gradient (weights, then bias) and mean loss over rows of x0, x1, ..., y, weighted if there is a column w."""
     width = len(weights)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,12 +157,13 @@ def gradient_step(
             z = x @ weights + bias
             small = np.exp(-np.abs(z))
             p = np.where(z >= 0, 1.0, small) / (1.0 + small)
-            error = p - y
+            w = batch.column(width + 1).to_numpy(zero_copy_only=False) if batch.num_columns > width + 1 else np.ones(len(y))
+            error = (p - y) * w
             clipped = np.clip(p, EPSILON, 1.0 - EPSILON)
             sums[:width] += x.T @ error
             sums[width] += error.sum()
-            sums[width + 1] -= (y * np.log(clipped) + (1.0 - y) * np.log(1.0 - clipped)).sum()
-            sums[width + 2] += len(y)
+            sums[width + 1] -= ((y * np.log(clipped) + (1.0 - y) * np.log(1.0 - clipped)) * w).sum()
+            sums[width + 2] += w.sum()
         at = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([sums.tolist()])], ["part", "sums"])
 

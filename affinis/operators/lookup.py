@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from difflib import SequenceMatcher
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -160,27 +164,17 @@ def _letters(text: Column) -> Column:
     )
 
 
-def fuzzy_hits(
-    queries: DataFrame,
-    entities: DataFrame,
-    limit: int,
-    spec: ProfileSpec = LIVESTOCK,
-    cutoff: float = FUZZY_CUTOFF,
-) -> DataFrame:
-    """Per (query_id, part) the ``limit`` distinct names closest in edit distance.
+def _sharing_letters(queries: DataFrame, entities: DataFrame, share: float, spec: ProfileSpec) -> DataFrame:
+    """(query_id, part, name, n_common) of all texts and names that may hold ``share`` of each other's letters in common.
 
-    The ratio is one less the edit distance over the longer length, at least
-    ``cutoff``. An edit takes one letter from the longer text at most, so texts that
-    reach the cutoff share that part of the longer one's letters: their lengths are
-    near each other, and they share a letter in the head of both sorted letter lists.
-    Names are joined by such a letter and their length; the distance is then tested.
-    Nothing that reaches the cutoff is lost.
+    Such a pair's lengths are near each other, and it shares a letter in the head of both
+    sorted letter lists. Names are joined by such a letter and their length; nothing is lost.
     """
 
     def heads(df: DataFrame, text: str, prefix: str) -> DataFrame:
         # Repeated letters first: they are rarer than single ones.
         size = F.size(f"{prefix}_letters")
-        kept = size - F.ceil(size * cutoff - 1e-9) + 1
+        kept = size - F.ceil(size * share - 1e-9) + 1
         return (
             df.filter(F.length(text) > 0)
             .withColumn(f"{prefix}_letters", F.sort_array(_letters(F.col(text)), asc=False))
@@ -192,32 +186,93 @@ def fuzzy_hits(
     held = heads(names, spec.name, "n").withColumn("length", F.length(spec.name))
     asked = heads(queries.filter(F.length(name_key(F.col("part"))) > 0).select("query_id", "part"), "part", "q")
     own = F.length("part")
-    lengths = F.sequence(F.ceil(own * cutoff - 1e-9).cast("int"), F.floor(own / cutoff + 1e-9).cast("int"))
+    lengths = F.sequence(F.ceil(own * share - 1e-9).cast("int"), F.floor(own / share + 1e-9).cast("int"))
     wanted = asked.withColumn("length", F.explode(lengths))
-    longer = F.greatest(F.length(spec.name), F.length("part"))
-    rated = (
+    return (
         salted_lookup(held, wanted, ["letter", "length"], spec.name)
         # The pair meets once, at the first letter both heads hold.
         .filter(F.array_intersect("n_head", "q_head")[0] == F.col("letter"))
-        .filter(F.size(F.array_intersect("n_letters", "q_letters")) >= cutoff * longer - 1e-9)
+        .select("query_id", "part", spec.name, F.size(F.array_intersect("n_letters", "q_letters")).alias("n_common"))
+    )
+
+
+def fuzzy_hits(
+    queries: DataFrame,
+    entities: DataFrame,
+    limit: int,
+    spec: ProfileSpec = LIVESTOCK,
+    cutoff: float = FUZZY_CUTOFF,
+) -> DataFrame:
+    """Per (query_id, part) the ``limit`` distinct names closest in edit distance.
+
+    The ratio is one less the edit distance over the longer length, at least
+    ``cutoff``. An edit takes one letter from the longer text at most, so texts that
+    reach the cutoff share that part of the longer one's letters.
+    """
+    longer = F.greatest(F.length(spec.name), F.length("part"))
+    rated = (
+        _sharing_letters(queries, entities, cutoff, spec)
+        .filter(F.col("n_common") >= cutoff * longer - 1e-9)
         .select("query_id", spec.name, (1 - F.levenshtein(spec.name, "part") / longer).alias("ratio"))
         .filter(F.col("ratio") >= cutoff - 1e-9)
     )
     return _first(rated, limit, [F.desc("ratio"), F.desc(spec.name)]).select("query_id", spec.name, "ratio")
 
 
+def _block_ratios(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ratio of matching blocks of each (part, name)."""
+    matcher = SequenceMatcher()
+    for batch in batches:
+        ratios, last = [], None
+        for part, name in zip(batch.column("part").to_pylist(), batch.column("name").to_pylist(), strict=True):
+            if part != last:  # what is found out about a query serves all its names
+                matcher.set_seq2(part)
+                last = part
+            matcher.set_seq1(name)
+            ratios.append(matcher.ratio())
+        yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("name"), pa.array(ratios, pa.float64())], names=["query_id", "name", "ratio"])
+
+
+def ratio_hits(
+    queries: DataFrame,
+    entities: DataFrame,
+    limit: int,
+    spec: ProfileSpec = LIVESTOCK,
+    cutoff: float = FUZZY_CUTOFF,
+) -> DataFrame:
+    """Per (query_id, part) the ``limit`` distinct names of the largest ratio of matching blocks.
+
+    The ratio is twice the letters in the longest matching blocks, found left and right of each
+    other in turn, over both lengths, at least ``cutoff``; ties go to the later name. The
+    matched letters are in both texts, so the letters in common bound the ratio from above,
+    and only pairs within the bound are rated.
+    """
+    both = F.length(spec.name) + F.length("part")
+    pairs = (
+        # Of lengths a <= b the ratio is 2a / (a + b) at most.
+        _sharing_letters(queries, entities, cutoff / (2 - cutoff), spec)
+        .filter(2 * F.col("n_common") >= cutoff * both - 1e-9)
+        .select("query_id", "part", F.col(spec.name).alias("name"))
+    )
+    id_type = queries.schema["query_id"].dataType.simpleString()
+    rated = pairs.mapInArrow(_block_ratios, f"query_id {id_type}, name string, ratio double").filter(F.col("ratio") >= cutoff)
+    named = rated.withColumnRenamed("name", spec.name)
+    return _first(named, limit, [F.desc("ratio"), F.desc(spec.name)]).select("query_id", spec.name, "ratio")
+
+
 def search(
     queries: DataFrame,
     entities: DataFrame,
     max_results: int = MAX_RESULTS,
     spec: ProfileSpec = LIVESTOCK,
     cutoff: float = FUZZY_CUTOFF,
+    fuzzy: Callable[..., DataFrame] = fuzzy_hits,
 ) -> DataFrame:
     """(query_id, rank, stage, name, group) for each (query_id, part).
 
     Substring hits in id order come first; a query with fewer than
     ``max_results`` is filled up with fuzzy hits, best first, each (name, group)
-    once.
+    once. ``fuzzy`` is :func:`fuzzy_hits` or :func:`ratio_hits`.
     """
     exact = written(substring_hits(queries, entities, max_results, spec), "substring")
     counts = exact.groupBy("query_id").agg(F.count(F.lit(1)).alias("__n"))
@@ -226,7 +281,7 @@ def search(
         .filter(F.coalesce(F.col("__n"), F.lit(0)) < max_results)
         .select("query_id", "part")
     )
-    hits = written(fuzzy_hits(short, entities, max_results, spec, cutoff), "fuzzy")
+    hits = written(fuzzy(short, entities, max_results, spec, cutoff), "fuzzy")
     close = (
         salted_lookup(entities, hits, [spec.name], spec.entity)
         .groupBy("query_id", spec.name, spec.group)

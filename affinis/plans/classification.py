@@ -29,17 +29,17 @@ def fitted(spark, sf, **settings):
     )
 
 
-def _sql_fit(steps: int) -> str:
-    """The descent written out: one pair of tables per step."""
+def _sql_fit(steps: int, weight: str = "1") -> str:
+    """The descent written out: one pair of tables per step; ``weight`` is an expression on y."""
     parts = [
-        """x AS MATERIALIZED (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity / 50 AS quantity,
-        l_discount * 10 AS discount, l_tax * 10 AS tax, CAST(l_returnflag = 'R' AS INT) AS y FROM lineitem)""",
+        f"""x AS MATERIALIZED (SELECT *, CAST({weight} AS DOUBLE) AS w FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity / 50 AS quantity,
+        l_discount * 10 AS discount, l_tax * 10 AS tax, CAST(l_returnflag = 'R' AS INT) AS y FROM lineitem))""",
         "w0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b, 0.0::DOUBLE AS c, 0.0::DOUBLE AS d)",
     ]
     for i in range(steps):
         parts.append(
-            f"""g{i} AS MATERIALIZED (SELECT avg((p - y) * quantity) AS ga, avg((p - y) * discount) AS gb,
-            avg((p - y) * tax) AS gc, avg(p - y) AS gd, avg(-(y * ln(p) + (1 - y) * ln(1 - p))) AS loss
+            f"""g{i} AS MATERIALIZED (SELECT sum(w * (p - y) * quantity) / sum(w) AS ga, sum(w * (p - y) * discount) / sum(w) AS gb,
+            sum(w * (p - y) * tax) / sum(w) AS gc, sum(w * (p - y)) / sum(w) AS gd, sum(-w * (y * ln(p) + (1 - y) * ln(1 - p))) / sum(w) AS loss
             FROM (SELECT x.*, 1 / (1 + exp(-(d + a * quantity + b * discount + c * tax))) AS p FROM x CROSS JOIN w{i}))"""
         )
         parts.append(
@@ -102,6 +102,24 @@ def fitted_weights(spark, sf):
     return spark.createDataFrame([row], "quantity double, discount double, tax double, bias double")
 
 
+SQL_BALANCE = "CASE y WHEN 1 THEN (SELECT count(*) / (2.0 * count(*) FILTER (l_returnflag = 'R')) FROM lineitem) ELSE (SELECT count(*) / (2.0 * count(*) FILTER (l_returnflag <> 'R')) FROM lineitem) END"
+
+
+@query(
+    "weighted_fit",
+    f"""WITH {_sql_fit(STEPS, SQL_BALANCE)} SELECT round(a, 9) AS quantity, round(b, 9) AS discount, round(c, 9) AS tax,
+    round(d, 9) AS bias, round((SELECT loss FROM g{STEPS - 1}), 9) AS loss FROM w{STEPS}""",
+)
+def weighted_fit(spark, sf):
+    """A fit on uneven classes: each class has the same sum of weights."""
+    rows = items(spark, sf)
+    weights = metrics.class_weights(rows, "label").select("label", "weight")
+    settings = GradientDescent(learning_rate=RATE, iterations=STEPS, tolerance=0.0)
+    model = settings.fit(rows.join(F.broadcast(weights), "label"), FEATURES, "label", "weight")  # two rows
+    row = [round(v, 9) for v in (*model.weights, model.bias, model.losses[-1])]
+    return spark.createDataFrame([row], "quantity double, discount double, tax double, bias double, loss double")
+
+
 SQL_SCORED = f"""{_sql_fit(STEPS)}, scored AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
   1 / (1 + exp(-(d + a * quantity + b * discount + c * tax))) AS p FROM x CROSS JOIN w{STEPS})"""
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]

@@ -167,6 +167,13 @@ def search_fuzzy(spark, sf):
     return hits.withColumn("ratio", F.round("ratio", 6))
 
 
+@query("search_ratio")
+def search_ratio(spark, sf):
+    """Names of the largest ratio of matching blocks (SQL has no such function; tests hold it against the standard library)."""
+    hits = lookup.ratio_hits(misspelt_queries(spark, sf), _parts(spark, sf), 10, SPEC)
+    return hits.withColumn("ratio", F.round("ratio", 6))
+
+
 def misspelt_customers(spark, sf):
     """Every customer's name with its last digit lost."""
     return op.dimension(spark, sf).select(F.col(SPEC.name).alias("query_id"), F.expr(f"left({SPEC.name}, length({SPEC.name}) - 1)").alias("part"))

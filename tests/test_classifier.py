@@ -173,3 +173,17 @@ def test_known_tokens_of_a_stream(spark, tmp_path):
     found = scoring.known_tokens(stream, vocabulary, "id", "text")
     scoring.run_to_table(found, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     assert {(r["id"], r["token"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {(7, "ub"), (7, "upland")}
+
+
+def test_weighted_fit(spark, small):
+    """Weights of one change nothing, and a weight of two is two rows."""
+    settings = C.GradientDescent(0.3, 25, 0.0)
+    rows = small.withColumn("n", (F.monotonically_increasing_id() % 3).cast("int"))
+    plain = settings.fit(small, X, "y")
+    assert settings.fit(small.withColumn("one", F.lit(1)), X, "y", "one") == plain
+    weighted = settings.fit(rows, X, "y", "n")
+    repeated = settings.fit(rows.withColumn("n", F.explode(F.expr("array_repeat(1, n)"))), X, "y")
+    assert (*weighted.weights, weighted.bias, *weighted.losses) == pytest.approx((*repeated.weights, repeated.bias, *repeated.losses))
+    for bad in (F.lit(0), F.lit(-1), F.lit(None).cast("double")):
+        with pytest.raises(ValueError):
+            settings.fit(small.withColumn("w", bad), X, "y", "w")

@@ -218,3 +218,24 @@ def test_substring_against_every_pair(spark):
     for r in lookup.substring_hits(asked, entities, 100).collect():
         got.setdefault(r["query_id"], set()).add(r[ID])
     assert got == {p: hits for p in parts if (hits := {i for i, w in enumerate(WORDS) if p.lower() in w})}
+
+
+def test_ratio_of_matching_blocks(spark):
+    """All pairs as the standard library rates them, in its order."""
+    import difflib
+    import random
+
+    from affinis.operators import lookup
+    from affinis.spec import LIVESTOCK
+
+    rng = random.Random(4)
+    names = sorted({"".join(rng.choice("abcdé ") for _ in range(rng.randint(1, 9))) for _ in range(150)} | {"Monte Alto", "Monte Alta", "monte alto"})
+    asked = {f"q{i}": name[::-1] if i % 4 == 0 else name[:-1] + rng.choice("abx") for i, name in enumerate(names[::3])} | {"long": "ab" * 150, "none": "", "null": None}
+    entities = spark.createDataFrame([(i, n, "U") for i, n in enumerate(names * 2)], f"{LIVESTOCK.entity} int, {LIVESTOCK.name} string, {LIVESTOCK.group} string")
+    queries = spark.createDataFrame(list(asked.items()), "query_id string, part string")
+    for cutoff in (0.7, 0.4):
+        hits = lookup.ratio_hits(queries, entities, 4, cutoff=cutoff).collect()
+        got = {q: [r[LIVESTOCK.name] for r in sorted((r for r in hits if r.query_id == q), key=lambda r: (r.ratio, r[LIVESTOCK.name]), reverse=True)] for q in asked}
+        assert got == {q: difflib.get_close_matches(part, names, 4, cutoff) if part and part.strip() else [] for q, part in asked.items()}
+    found = lookup.search(queries, entities, 5, fuzzy=lookup.ratio_hits)
+    assert found.filter("stage = 'fuzzy'").count() > 0
