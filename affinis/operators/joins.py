@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinis.session import fits_broadcast
+from affinis.session import fits_broadcast, written
 
 ROWS_PER_SALT = 100_000
 #: A key is heavy from the larger of ROWS_PER_SALT and this share of all rows, so there are at most as many heavy keys.
@@ -62,3 +62,20 @@ def attached(rows: DataFrame, table: DataFrame, key: str, spread: str) -> DataFr
     """
     sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     return weighted_lookup(rows, table.join(sizes, key), [key], "__n", spread).drop("__n")
+
+
+def spread_join(rows: DataFrame, others: DataFrame, on: Sequence[str], spread: str) -> DataFrame:
+    """Join two tables whose keys both repeat; the rows of a heavy key are spread, and its others repeated for each salt.
+
+    ``rows`` is the larger table; it is read twice, as its keys are counted first. The list of
+    heavy keys is bounded as in :func:`weighted_lookup`.
+    """
+    on = list(on)
+    sizes = written(rows.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")), "sizes")
+    total = sizes.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("t")).first().t
+    share = max(ROWS_PER_SALT, total // MOST_HEAVY)
+    heavy = F.broadcast(sizes.filter(F.col("__n") > share).select(*on, F.ceil(F.col("__n") / share).cast("int").alias(SALTS)))
+    count = F.coalesce(F.col(SALTS), F.lit(1))
+    many = rows.join(heavy, on, "left").withColumn(SALT, F.pmod(F.xxhash64(spread), count).cast("int"))
+    few = others.join(heavy, on, "left").withColumn(SALT, F.explode(F.sequence(F.lit(0), count - 1)))
+    return many.drop(SALTS).join(few.drop(SALTS), [*on, SALT]).drop(SALT)

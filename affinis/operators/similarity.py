@@ -14,11 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinis.functions import vectors as V
-from affinis.operators.joins import attached, weighted_lookup
+from affinis.operators.joins import attached, spread_join, weighted_lookup
 from affinis.operators.topk import check_k, top_k
 from affinis.session import fits_broadcast, salts, written
 
-JOIN_SALTS = 16
 SQUARE_BLOCK = 1_000  # entities of one side of a piece of a square matrix
 HOT_TOKEN_ROWS = 100_000
 DENSE_QUERY_BLOCK = 1_000
@@ -87,8 +86,8 @@ def scored_pairs(
     The corpus is laid out by entity once. Queries whose terms are few enough
     (counted, not guessed) are broadcast, so the join and the sums per pair stay
     in the entity's partition and a token held by most entities weighs on no
-    task. With more queries both sides are joined by token and a salt, and only
-    the sums per pair move again. Exclusions are part of the join. ``few`` is
+    task. With more queries both sides are joined by token, a heavy token over as many
+    salts as its counted rows need, and only the sums per pair move again. Exclusions are part of the join. ``few`` is
     what the count says, where the caller has made it.
     """
     c_group = [F.col(group).alias("__c_group")] if group else []
@@ -97,10 +96,8 @@ def scored_pairs(
         held = corpus.repartition(entity).select(entity, "sq", "l1", *c_group, F.inline("terms"))
         joined = held.join(F.broadcast(asked), "token")
     else:
-        held = corpus.select(entity, "sq", "l1", *c_group, F.inline("terms")).withColumn(
-            "__salt", F.pmod(F.xxhash64(entity), F.lit(JOIN_SALTS)).cast("int")
-        )
-        joined = held.join(asked.withColumn("__salt", F.explode(salts(JOIN_SALTS))), ["token", "__salt"])
+        held = corpus.select(entity, "sq", "l1", *c_group, F.inline("terms"))
+        joined = spread_join(held, asked, ["token"], entity)
     return (
         _allowed(joined, query_id, entity, exclude_self, group)
         .groupBy(query_id, entity)

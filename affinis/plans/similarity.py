@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from affinis.functions import vectors as V
+from affinis.operators import approximate, topk
 from affinis.operators import similarity as sim
-from affinis.operators import topk
 from affinis.operators import vocabulary as voc
 from affinis.operators.ordering import positions
 from affinis.plans import orders_profile as op
@@ -89,6 +89,15 @@ def nearest_manhattan(spark, sf):
     return _nearest(spark, sf, sim.MANHATTAN)
 
 
+@query("approximate_cosine")
+def approximate_cosine(spark, sf):
+    """Every hundredth document against all (tests measure what is missing; SQL has no such bands)."""
+    corpus = written(voc.term_vectors(table(spark, sf, "documents"), "doc_id", "text", stemming=False), "corpus")
+    asked = written(corpus.filter("doc_id % 100 = 0").withColumnRenamed("doc_id", "query_id"), "asked")
+    found = approximate.approximate_nearest(asked, corpus, 5, "query_id", "doc_id", exclude_self=True)
+    return found.withColumn("score", F.round("score", 6))
+
+
 SQL_PROFILES = op.SQL_TERMS + """,
 keyed AS (SELECT id, string_agg(token || ' ' || cnt, ' ' ORDER BY token) AS k FROM terms GROUP BY id),
 grouped AS MATERIALIZED (SELECT min(id) AS profile, count(*) AS n_members, k FROM keyed GROUP BY k)"""
