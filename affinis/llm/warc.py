@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinis.llm.scratch import Scratch
+from affinis.operators.joins import weighted_lookup
 
 LEAST_REVISIT = 100  # bytes of payload from which an equal one is revisited
 FILE_BYTES = 256 << 20  # of records in one archive
@@ -122,15 +123,17 @@ def manifest(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def inflated(source, chunk: int = CHUNK) -> Iterator[bytes]:
-    """The contents of a gzip file, whether one stream or several members."""
+    """The contents of a gzip file, whether one stream or several members, in pieces of ``chunk`` bytes at most."""
     unpacker = zlib.decompressobj(31)
     while data := source.read(chunk):
         while data:
             if unpacker.eof:
                 unpacker = zlib.decompressobj(31)
-            yield unpacker.decompress(data)
-            data = unpacker.unused_data
-    if not unpacker.eof and unpacker.unconsumed_tail:
+            yield unpacker.decompress(data, chunk)
+            data = unpacker.unused_data if unpacker.eof else unpacker.unconsumed_tail
+    while not unpacker.eof and (piece := unpacker.decompress(b"", chunk)):  # what is inflated but not handed on
+        yield piece
+    if not unpacker.eof:
         raise ValueError("the gzip stream ends early")
 
 
@@ -193,8 +196,12 @@ def _read(folder: str):
     return run
 
 
-def with_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """Add payload_bytes, payload_digest and refers_to: the smallest ``page_id`` with an equal payload, where that is another row's."""
+def with_revisits(pages: DataFrame, least: int = LEAST_REVISIT, scratch: Scratch | None = None) -> DataFrame:
+    """Add payload_bytes, payload_digest and refers_to: the smallest ``page_id`` with an equal payload, where that is another row's.
+
+    Rows of a payload that very many pages have are spread over salts.
+    """
+    scratch = scratch or Scratch(pages.sparkSession, "revisits")
     payload: Column = F.coalesce("html", F.lit(""))
     full = pages.select("page_id", "url", "html", F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha2(payload.cast("binary"), 256).alias("payload_digest"))
     firsts = (
@@ -202,10 +209,10 @@ def with_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
         .groupBy("payload_digest")
         .agg(F.min("page_id").alias("first_page"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
-        .drop("n")
     )
     again = F.when(F.col("page_id").isNull() | (F.col("page_id") > F.col("first_page")), F.col("first_page"))
-    return full.join(firsts, "payload_digest", "left").withColumn("refers_to", again).drop("first_page")
+    known = weighted_lookup(full, scratch.written(firsts, "firsts"), ["payload_digest"], "n", "page_id", "left")
+    return known.withColumn("refers_to", again).drop("first_page", "n")
 
 
 def archived(pages: DataFrame, folder: str) -> DataFrame:
@@ -214,15 +221,20 @@ def archived(pages: DataFrame, folder: str) -> DataFrame:
     return pages.select(F.col("page_id").cast("long"), *columns[1:-1], F.col("refers_to").cast("long")).mapInArrow(_archive(folder), MANIFEST)
 
 
+def _dealt(archives: DataFrame) -> DataFrame:
+    """A task for each archive: a manifest's rows are tiny, so adaptive execution would join them."""
+    return archives.repartitionByRange(max(1, archives.count()), "path")
+
+
 def normalised(archives: DataFrame, folder: str) -> DataFrame:
     """Write every archive again with a member for each record and a sidecar index; returns the new manifest."""
-    return archives.repartition(F.col("path")).mapInArrow(_normalise(folder), MANIFEST)
+    return _dealt(archives).mapInArrow(_normalise(folder), MANIFEST)
 
 
 def records(archives: DataFrame, folder: str) -> DataFrame:
     """Read the records of normalised archives by their indexes."""
     schema = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return archives.repartition(F.col("path")).mapInArrow(_read(folder), schema)
+    return _dealt(archives).mapInArrow(_read(folder), schema)
 
 
 def round_trip(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
@@ -234,6 +246,9 @@ def round_trip(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     no equal row has one. Other columns are not archived; no pages give no records.
     """
     scratch = Scratch(pages.sparkSession, "warc")
-    whole = scratch.written(archived(with_revisits(pages, least), scratch.folder), "manifest")
+    whole = scratch.written(archived(with_revisits(pages, least, scratch), scratch.folder), "manifest")
     single = scratch.written(normalised(whole, scratch.folder), "normalised")
+    counts = [df.agg(F.coalesce(F.sum("n_records"), F.lit(0))).first()[0] for df in (whole, single)]
+    if counts[0] != counts[1]:
+        raise ValueError(f"{counts[0]} records were written and {counts[1]} normalised")
     return records(single, scratch.folder)

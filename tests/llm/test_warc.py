@@ -61,3 +61,33 @@ def test_members_and_index(spark, monkeypatch):
 
 def test_no_pages(spark):
     assert warc.round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_cut_archives():
+    """An archive that ends early is refused, wherever it was cut; a small chunk bounds each piece."""
+    import io
+    import random
+
+    import pytest
+
+    data = bytes(random.Random(1).randrange(256) for _ in range(5000)) + b"\0" * 300_000
+    whole = gzip.compress(data)
+    pieces = list(warc.inflated(io.BytesIO(whole + gzip.compress(b"second")), 1000))
+    assert b"".join(pieces) == data + b"second" and max(map(len, pieces)) <= 1000
+    for cut in (0, 5, len(whole) // 2, len(whole) - 9, len(whole) - 1):
+        with pytest.raises(ValueError):
+            list(warc.inflated(io.BytesIO(whole[:cut]), 1000))
+
+
+def test_one_payload_on_most_pages(spark, monkeypatch):
+    from affinis.operators import joins
+
+    monkeypatch.setattr(joins, "ROWS_PER_SALT", 4)
+    rows = [(i, "u", LONG if i % 5 else f"page {i} " * 30, 0) for i in range(60)]
+    got = {r.page_id: (r.record_type, r.refers_to, r.payload_digest) for r in warc.round_trip(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: ("revisit", 1, sha(LONG)) if html == LONG and i > 1 else ("response", None, sha(html)) for i, _, html, _ in rows}
+
+
+def test_a_task_for_each_archive(spark):
+    some = spark.createDataFrame([(f"p{i}", f"p{i}.idx", 1) for i in range(6)], warc.MANIFEST).coalesce(1)
+    assert warc._dealt(some).rdd.glom().map(len).collect() == [1] * 6
