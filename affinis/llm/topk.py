@@ -22,15 +22,25 @@ BLOCK = 4_096  # vectors in one block
 QUERY_BLOCK = 2_048  # queries that meet a block in one task row
 AT_ONCE = 128  # queries whose bounds are held together
 DEPTHS = (0.25, 0.5, 0.75)  # of the lists, after which bounds are compared
+ENDS = 2.0**63
+ROUNDING = 2.0**-44  # share of the largest product that bounds may be wrong by, for each component
 
 
 def scaled(column: str, factor: int = 256):
-    """floor(factor * x) of each component as int; null where a component is null or not finite."""
+    """floor(factor * x) of each component as long; null where a component is null or not finite."""
     bad = F.exists(column, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    whole = F.transform(column, lambda x: F.floor(x.cast("double") * factor).cast("int"))
+    whole = F.transform(column, lambda x: F.floor(x.cast("double") * factor))
     return F.when(F.col(column).isNotNull() & ~bad, whole)
 
 
+def products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Whole inner products; beyond the range of long they are its ends."""
+    if len(vectors) and len(query) * float(np.abs(vectors.astype(np.float64)).max()) * float(np.abs(query.astype(np.float64)).max()) >= 2.0**62:
+        exact = [sum(x * y for x, y in zip(v, query.tolist(), strict=True)) for v in vectors.tolist()]
+        return np.array([max(-(1 << 63), min((1 << 63) - 1, x)) for x in exact], np.int64)
+    return vectors.astype(np.int64) @ query.astype(np.int64)
+
+
 def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple]:
     """The k best of one block for each query: (query_id, vec_id, score), ties to smaller ids."""
     n, width = vectors.shape
@@ -39,6 +49,7 @@ def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
     np.put_along_axis(place, order, np.broadcast_to(np.arange(n)[:, None], order.shape), axis=0)
     listed = np.take_along_axis(vectors, order, axis=0)
     real = vectors.astype(np.float64)
+    reach = float(np.abs(real).max(initial=0))
     ends = np.concatenate([listed[0], listed[-1]]).astype(np.float64)
     out = []
     for first in range(0, len(queries), AT_ONCE):
@@ -57,10 +68,12 @@ def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
             own = ids[None, :] == query_ids[first : first + AT_ONCE, None]
             least[own] = -np.inf
             bar = np.partition(least, n - k, axis=1)[:, n - k]
-            alive &= most >= bar[:, None]
+            slack = width * reach * np.abs(asked).max(axis=1, initial=0) * ROUNDING  # of the sums in most and least
+            # Scores end at the range of long, and what is beyond either end is equal there.
+            alive &= np.maximum(most, -ENDS) >= (np.minimum(bar, ENDS) - slack)[:, None]
         for i in range(len(asked)):
             left = np.flatnonzero(alive[i])
-            scores = vectors[left].astype(np.int64) @ queries[first + i].astype(np.int64)
+            scores = products(vectors[left], queries[first + i])
             keep = ids[left] != query_ids[first + i]
             left, scores = left[keep], scores[keep]
             if len(scores) > k:
@@ -80,7 +93,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = kept.pop((side, width))
         ids, vectors = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
         return pa.RecordBatch.from_pydict(
-            {"side": pa.array([side], pa.int32()), "width": pa.array([width], pa.int32()), "ids": [ids.astype("<i8").tobytes()], "vecs": [vectors.astype("<i4").tobytes()]}
+            {"side": pa.array([side], pa.int32()), "width": pa.array([width], pa.int32()), "ids": [ids.astype("<i8").tobytes()], "vecs": [vectors.astype("<i8").tobytes()]}
         )
 
     for batch in batches:
@@ -110,7 +123,7 @@ def _search(k: int):
             ):
                 if width:
                     out += search_block(
-                        np.frombuffer(ids, "<i8"), np.frombuffer(vecs, "<i4").reshape(-1, width), np.frombuffer(q_ids, "<i8"), np.frombuffer(qs, "<i4").reshape(-1, width), k
+                        np.frombuffer(ids, "<i8"), np.frombuffer(vecs, "<i8").reshape(-1, width), np.frombuffer(q_ids, "<i8"), np.frombuffer(qs, "<i8").reshape(-1, width), k
                     )
                 else:
                     ids, q_ids = np.sort(np.frombuffer(ids, "<i8")), np.frombuffer(q_ids, "<i8")
@@ -123,7 +136,7 @@ def _search(k: int):
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest inner products of each query, ties to the smaller id.
 
-    Both tables have ``vec_id`` and ``vec``, an array of int. Rows with a null id or
+    Both tables have ``vec_id`` and ``vec``, an array of long. Rows with a null id or
     vector take no part; vectors are compared with those of equal length; a query
     meets every vector but those of its own id. Of rows repeated in ``queries`` one
     counts; candidates are rows, and a repeated row is listed again. Other columns are
@@ -133,14 +146,16 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
 
     def blocks(df: DataFrame, side: int) -> DataFrame:
-        rows = df.select(F.lit(side).alias("side"), F.col("vec_id").cast("long"), "vec").filter("vec_id is not null and vec is not null")
+        rows = df.select(F.lit(side).alias("side"), F.col("vec_id").cast("long"), F.col("vec").cast("array<bigint>"))
         return rows.mapInArrow(_pack, "side int, width int, ids binary, vecs binary")
 
-    asked = blocks(queries.dropDuplicates(["vec_id"]).repartition(1 if parts < 8 else parts // 8), 1)
+    known = "vec_id is not null and vec is not null"
+    asked = blocks(queries.filter(known).dropDuplicates(["vec_id"]).repartition(1 if parts < 8 else parts // 8), 1)
     cells = F.pmod(F.xxhash64("ids"), F.lit(parts)).cast("int")
-    left = blocks(vectors, 0).withColumn("cell", cells)
+    left = blocks(vectors.filter(known), 0).withColumn("cell", cells)
     # Every block of queries goes to every cell of vectors: a grid, each cell a task's work.
     right = asked.select("width", F.col("ids").alias("query_ids"), F.col("vecs").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("cell"))
-    found = left.join(right.hint("shuffle_hash"), ["cell", "width"]).select("width", "ids", "vecs", "query_ids", "queries").mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    # A merge join, as blocks of queries grow with the table and may have to spill.
+    found = left.join(right.hint("merge"), ["cell", "width"]).select("width", "ids", "vecs", "query_ids", "queries").mapInArrow(_search(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -45,3 +45,34 @@ def test_empty(spark):
 def test_repeated_queries_count_once_and_repeated_candidates_are_rows(spark):
     rows = [(0, [1.0]), (0, [1.0]), (1, [0.5]), (1, [0.5]), (2, [0.25])]
     assert found(spark, rows, 10) == [(0, 1, 1, 256 * 128), (0, 2, 1, 256 * 128), (0, 3, 2, 256 * 64)]
+
+
+@pytest.mark.parametrize("large", [1e8, 3e6, 1e15])
+def test_large_components(spark, large):
+    """Finite components of any size take part; a score beyond the range of long is its end."""
+    rng = random.Random(9)
+    rows = [(i, [float(int(rng.gauss(0, 1) * (large if i % 9 == 0 else 1))), rng.choice([0.5, 1.0, large])]) for i in range(90)]
+    exact = [(r.vec_id, r.embedding) for r in spark.createDataFrame([(i, v, "") for i, v in rows], SCHEMA).collect()]
+    top, low = (1 << 63) - 1, -(1 << 63)
+    usable = [(i, [max(low, min(top, math.floor(256 * x))) for x in v]) for i, v in exact]
+    expected = []
+    for q, a in usable:
+        if q % 6 == 0:
+            best = sorted((-max(low, min(top, sum(x * y for x, y in zip(a, b, strict=True)))), i) for i, b in usable if i != q)[:5]
+            expected += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert found(spark, rows, 6) == sorted(expected)
+
+
+def test_repeated_query_with_a_null_vector(spark):
+    rows = [(0, None), (0, [1.0]), (0, None), (1, [0.5])]
+    assert found(spark, rows, 2) == [(0, 1, 1, 128 * 256)]
+
+
+def test_ties_at_large_products():
+    """Products that doubles can't tell apart."""
+    import numpy as np
+
+    vectors = np.array([[1 << 30, 1 << 27], [1 << 30, (1 << 27) + 1], *[[1, i] for i in range(60)]], np.int64)
+    query = np.array([[1 << 30, 1]], np.int64)
+    got = topk.search_block(np.arange(62), vectors, np.array([99]), query, 1)
+    assert got == [(99, 1, (1 << 60) + (1 << 27) + 1)]
