@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,7 +29,7 @@ TAG_COST, RARE_COST, BOILER_COST = 0.2, 5.0, 0.3
 #: Names of elements.
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-BOILER_TAGS = set("head title nav footer aside form script style noscript template button select option textarea iframe svg dialog menu object audio video canvas math label input".split())
+BOILER_TAGS = set("head title nav footer aside form script style noscript template button select option textarea iframe svg dialog menu object audio video canvas math input".split())
 BOILER_ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form status".split())
 #: Words in class and id that mark what is not the article.
 BOILER_NAMES = set(
@@ -38,13 +39,31 @@ BOILER_NAMES = set(
     " footer masthead toolbar search skip paywall disclaimer copyright".split()
 )
 CONTENT_TAGS = {"article", "main"}
+#: Words of these that mark reader comments; inside an article its own parts are left out for no other name.
+COMMENT_NAMES = set("comment comments commentlist respond reply replies disqus".split())
+ARTICLE_PARTS = set("section p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table blockquote pre figure figcaption".split())
+MODIFIERS = set("with has no without".split())
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<",
+    # A tag that is not closed ends at the next one, so that no stretch is scanned for every "<" before it.
+    r"<!--.*?(?:-->|\Z)|<(script|style)\b[^<>]*+>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^<>]*+>|[^<]++|<",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 
 
+def says_boiler(name: str, value: str, inside: bool) -> bool:
+    """Whether a class or id marks what is not the article.
+
+    Outside an article a part of a compound name is enough, unless it says what the element is
+    with or without; inside, only whole names count, and for its own parts only those of comments.
+    """
+    names = value.split()
+    if inside:
+        return not (COMMENT_NAMES if name in ARTICLE_PARTS else BOILER_NAMES).isdisjoint(names)
+    parts = (re.split(r"[^a-z0-9]+", one) for one in names)
+    return any(one[0] not in MODIFIERS and not BOILER_NAMES.isdisjoint(one) for one in parts)
+
+
 def is_boiler(name: str, attributes: str, inside: bool) -> bool:
     """Whether an element is never content; a page's header isn't, an article's may be."""
     if name in BOILER_TAGS or (name == "header" and not inside):
@@ -57,7 +76,7 @@ def is_boiler(name: str, attributes: str, inside: bool) -> bool:
             return True
         if key == "role" and value in BOILER_ROLES:
             return True
-        if key in ("class", "id") and name not in ("html", "body") and not BOILER_NAMES.isdisjoint(re.split(r"[^a-z0-9]+", value)):
+        if key in ("class", "id") and name not in ("html", "body") and says_boiler(name, value, inside):
             return True
     return False
 
@@ -76,6 +95,7 @@ class Piece:
 def pieces(page: str) -> list[Piece]:
     out: list[Piece] = []
     stack: list[tuple[str, bool, int]] = []  # name, boiler, content
+    opened: Counter[str] = Counter()  # names on the stack
     block = marked = 0
     for found in TOKEN.finditer(page):
         raw, script, closing, name = found[0], found[1], found[2], found[3]
@@ -87,12 +107,14 @@ def pieces(page: str) -> list[Piece]:
             if name not in INLINE:
                 block += 1
             if closing:
-                if any(s[0] == name for s in stack):
-                    while stack.pop()[0] != name:
-                        pass
+                while opened[name]:
+                    last = stack.pop()[0]
+                    opened[last] -= 1
+                    if last == name:
+                        break
             elif name not in VOID and not raw.endswith("/>"):
                 if name not in INLINE and stack and stack[-1][0] == "p":
-                    stack.pop()
+                    opened[stack.pop()[0]] -= 1
                 boiler, content = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
                 boiler = boiler or is_boiler(name, found[4], content > 0)
                 if boiler:
@@ -101,6 +123,7 @@ def pieces(page: str) -> list[Piece]:
                     content = marked = marked + 1
                 if name not in INLINE or boiler != (bool(stack) and stack[-1][1]):
                     stack.append((name, boiler, content))
+                    opened[name] += 1
             out.append(Piece(f"<{name}>", "", block, boiler, content))
         elif raw[0] != "<" or raw == "<":
             where = next((s[0] for s in reversed(stack) if s[0] not in INLINE), "")
@@ -178,8 +201,8 @@ def fit(pages: DataFrame, labelled_pages: int = FIT_PAGES, scratch: Scratch | No
     counts = drawn.mapInArrow(_counts, "feature string, within boolean, n long").groupBy("feature").agg(
         F.sum(F.when(F.col("within"), F.col("n")).otherwise(0)).alias("inside"), F.sum("n").alias("n")
     )
-    common = counts.orderBy(F.desc("n"), "feature").limit(1_000).collect()  # names of elements
-    return Weights({r.feature: (r.inside + 0.8) / (r.n + 1) for r in common})
+    # Names of elements on the pages drawn, at most FIT_PAGES.
+    return Weights({r.feature: (r.inside + 0.8) / (r.n + 1) for r in counts.collect()})
 
 
 def _texts(sent):

@@ -56,3 +56,31 @@ def test_weights_come_from_labelled_pages(spark):
     weights = ht.fit(pages)
     assert weights.shares["word in p"] > 0.9 > 0.1 > weights.shares["word in div"]
     assert ht.main_text("<div>outside words here</div><p>what one wants to have of it</p>", weights) == "what one wants to have of it"
+
+
+P = "words of the article that go on and on for a while " * 4
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<article><h2 id='related-work'>Related work</h2><p>{P}</p></article>", f"Related work\n{P.strip()}"),
+        (f"<article><section id='discussion'><p>{P}</p></section></article>", P.strip()),
+        (f"<body><div class='content with-sidebar'><article><p>{P}</p></article></div></body>", P.strip()),
+        (f"<article><p>{P}</p><div class='search-results'><p>Found</p></div></article>", f"{P.strip()}\nFound"),
+        (f"<article><p>{P}</p><label>Name</label></article>", f"{P.strip()}\nName"),
+        (f"<article><p>{P}</p><section class='comments'><p>me too</p></section><div class='ad'>buy</div></article>", P.strip()),
+        (f"<div class='cookie-banner'>{P}</div><article><p>{P}</p></article><div id='site-footer'>{P}</div>", P.strip()),
+    ],
+)
+def test_names_inside_and_outside_articles(page, text):
+    assert ht.main_text(page, ht.Weights()) == text
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "<!" * 500_000, "<div>x" * 150_000 + "</p>" * 30_000, "<script " * 120_000, "<a '" * 250_000, "<div class='x' " * 70_000])
+def test_a_megabyte_takes_seconds(page):
+    import time
+
+    start = time.perf_counter()
+    ht.main_text(page, ht.Weights())
+    assert time.perf_counter() - start < 60
