@@ -9,14 +9,15 @@ from affinis.functions.vectors import cross_entropy, sigmoid
 from affinis.operators import metrics
 from affinis.operators.classifier import GradientDescent, gradient_step
 from affinis.plans.registry import query, table
+from affinis.streaming import scoring
 
 FEATURES = ["quantity", "discount", "tax"]
 STEPS, RATE = 3, 0.5
 
 
-def items(spark, sf):
+def items(spark, sf, lines=None):
     """Line items as scaled features and a 0/1 label."""
-    return table(spark, sf, "lineitem").select(
+    return (table(spark, sf, "lineitem") if lines is None else lines).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         (F.col("l_quantity") / 50).alias("quantity"), (F.col("l_discount") * 10).alias("discount"),
         (F.col("l_tax") * 10).alias("tax"), (F.col("l_returnflag") == "R").cast("int").alias("label"),
@@ -141,6 +142,17 @@ def predicted_classes(spark, sf):
     return fitted(spark, sf).predict(items(spark, sf), 0.35).select(*KEYS, "prediction")
 
 
+@query(
+    "streamed_scores",
+    f"WITH {SQL_SCORED} SELECT {', '.join(KEYS)}, round(p, 6) AS probability, CAST(p > 0.35 AS BIGINT) AS prediction FROM scored",
+)
+def streamed_scores(spark, sf):
+    """Line items as a stream, scored by the fitted model, run twice from one checkpoint."""
+    stream = items(spark, sf, scoring.stream_of(spark, f"{sf}/lineitem.parquet"))
+    found = scoring.landed(scoring.scored(stream, fitted(spark, sf), 0.35), "streamed-scores")
+    return found.select(*KEYS, F.round("probability", 6).alias("probability"), "prediction")
+
+
 @query("converged_fit")
 def converged_fit(spark, sf):
     """A fit that stops early (the number of steps depends on the data, so no fixed SQL)."""

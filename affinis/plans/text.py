@@ -11,6 +11,7 @@ from affinis.plans import orders_profile as op
 from affinis.plans.registry import query, table
 from affinis.session import scratch_path, written
 from affinis.sources import landing
+from affinis.streaming import scoring
 
 SQL_DOC_TERMS = f"""doc_terms AS MATERIALIZED (SELECT doc_id, token, count(*) AS cnt FROM
   (SELECT doc_id, unnest({op.sql_tokens('text')}) AS token FROM documents) GROUP BY doc_id, token),
@@ -157,3 +158,15 @@ def index_saved(spark, sf):
     landing.save_index(ProfileIndex.build(written(op.features(spark, sf), "features"), op.SPEC, stemming=False), path)
     landing.load_index(spark, path, op.SPEC, stemming=False)
     return landing.load(spark, f"{path}/vocabulary")
+
+
+@query(
+    "streamed_terms",
+    f"""WITH known AS MATERIALIZED (SELECT token, row_number() OVER (ORDER BY token) - 1 AS idx FROM (SELECT DISTINCT unnest({op.sql_tokens('text')}) AS token FROM benchmark))
+    SELECT doc_id, idx, token, count(*) AS cnt FROM (SELECT doc_id, unnest({op.sql_tokens('text')}) AS token FROM documents) JOIN known USING (token) GROUP BY ALL""",
+)
+def streamed_terms(spark, sf):
+    """Documents as a stream against the frozen vocabulary of the test items, run twice from one checkpoint."""
+    known = written(voc.fit_vocabulary(voc.token_counts(table(spark, sf, "benchmark"), "item_id", "text")), "vocabulary")
+    stream = scoring.known_tokens(scoring.stream_of(spark, f"{sf}/documents.parquet"), known, "doc_id", "text")
+    return scoring.landed(stream, "streamed-terms").groupBy("doc_id", "idx", "token").agg(F.count(F.lit(1)).alias("cnt"))
