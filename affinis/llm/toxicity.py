@@ -4,8 +4,13 @@ Words become classes: insult (learned words and word beginnings), threat, target
 negation, reported speech, other. Five transducers rewrite the classes of a clause
 one after another; they are composed once into a single machine, which turns a clause
 into marks: an insult that is aimed at someone, plain, negated or reported, and a
-threat. A clause's marks weigh as much as the lexicon says, and a logistic model,
-learned from labelled rows, turns a document's marks into a score.
+threat. A clause's marks weigh as much as the lexicon says. A logistic model, learned
+from labelled rows, turns them and the length of the text into a score; no mark lowers
+it, and an aimed insult counts at least as much as a plain one, that as a negated one.
+
+A word or beginning is in the lexicon for how much more often it stands in toxic text
+than elsewhere, word for word, so that one that long harmless texts hold by chance can
+be learned as well. Repeats in equal surroundings, as copies have, count once.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,16 +30,17 @@ from affinis.llm.scratch import Scratch
 from affinis.llm.tasks import releasing
 
 FIT_ROWS = 20_000  # labelled rows at most that the lexicon and the model are learned from
-SUPPORT = 8  # different surroundings in toxic texts that a word or beginning needs
+SUPPORT = 5  # toxic texts that a word or beginning needs, counted by its first surroundings in each
 LEAST_ODDS = 3.0  # log odds from which it is an insult
 BEGINNINGS = (4, 5, 6, 7)
+KNOWN_WORDS = 1 << 16  # words whose weight a task remembers
 THRESHOLD = 0.7
 ROWS_AT_ONCE = 500  # rows in one batch handed on
 WORD = re.compile(r"[^\W\d_]+")
 CLAUSE = re.compile(r"[.!?;:\n]+")
 
 #: Words of the classes that are not learned, in the four languages of the texts.
-THREATS = set("kill kills hurt die burn shoot beat destroy töten sterben schlagen tuer mourir frapper matar morir golpear".split())
+THREATS = set("kill kills hurt burn shoot beat destroy töten sterben schlagen tuer mourir frapper matar morir golpear".split())
 TARGETS = set("you your yours they them those people du dich dir ihr euch sie tu toi vous ils eux tú te usted ustedes ellos".split())
 NEGATIONS = set("not no never nobody nicht kein keine nie niemand pas jamais aucun ne nunca jamás ningún tampoco".split())
 REPORTS = set("said says wrote writes quoted called claims sagte schrieb behauptet dit écrit prétend dijo escribió afirma".split())
@@ -42,6 +49,8 @@ OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = "other", "insult", "threat", "
 PLAIN, AIMED, NEGATED, REPORTED = "plain", "aimed", "negated", "reported"
 CLASSES = [OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT]
 MARKS = [PLAIN, AIMED, NEGATED, REPORTED, THREAT]
+#: Columns of the model: each step of the ladder from negated to aimed adds to the one before. All but the length have weights of zero or more.
+LADDER = [(NEGATED, PLAIN, AIMED), (PLAIN, AIMED), (AIMED,), (REPORTED,), (THREAT,)]
 
 
 @dataclass(frozen=True)
@@ -113,8 +122,9 @@ def features_of(word: str) -> list[str]:
 class Lexicon:
     def __init__(self, odds: dict[str, float]):
         self.odds = odds
+        self.weight = lru_cache(KNOWN_WORDS)(self._weight)
 
-    def weight(self, word: str) -> float:
+    def _weight(self, word: str) -> float:
         return max((self.odds.get(f, 0.0) for f in features_of(word)), default=0.0)
 
     def class_of(self, word: str) -> str:
@@ -126,26 +136,25 @@ class Lexicon:
         return OTHER
 
     def marks(self, text: str | None) -> np.ndarray:
-        """What each kind of mark weighs in the text."""
-        out = np.zeros(len(MARKS))
+        """What the marks of each step of the ladder weigh in the text, and its length, as logarithms."""
+        weights = dict.fromkeys(MARKS, 0.0)
         low = (text or "").lower()
-        calls = {w for w in set(WORD.findall(low)) if w in THREATS or self.weight(w) > 0}
-        if not calls:
-            return out
-        for clause in CLAUSE.split(low):
+        found = WORD.findall(low)
+        calls = {w for w in set(found) if w in THREATS or self.weight(w) > 0}
+        for clause in CLAUSE.split(low) if calls else ():
             words = WORD.findall(clause)
             if calls.isdisjoint(words):
                 continue
             for word, (mark, weight) in zip(words, GRAMMAR.run([self.class_of(w) for w in words]), strict=True):
                 if weight:
-                    out[MARKS.index(mark)] += weight * (self.weight(word) or LEAST_ODDS)
-        return np.log1p(out)
+                    weights[mark] += weight * (self.weight(word) or LEAST_ODDS)
+        return np.log1p([*(sum(weights[m] for m in step) for step in LADDER), len(found) / 100])
 
 
 @dataclass(frozen=True)
 class Model:
     lexicon: dict[str, float]
-    weights: list[float]  # of the marks, and a constant
+    weights: list[float]  # of the ladder, the length, and a constant
 
     def score(self, marks: np.ndarray) -> float:
         z = float(np.append(marks, 1.0) @ np.asarray(self.weights))
@@ -165,33 +174,42 @@ def learning_rows(docs: DataFrame, labels: DataFrame, scratch: Scratch, rows: in
 
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(feature, about): a word's features with its neighbours, so that copies count once."""
-    seen: set[tuple[str, str]] = set()
+    """(feature, about, first): a word's features with its neighbours, and whether no earlier word of the text has the feature."""
+    seen: dict[tuple[str, str], int] = {}
 
     def handed() -> pa.RecordBatch:
-        rows = list(seen)
+        columns = [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.string()), pa.array(list(seen.values()), pa.int32())]
         seen.clear()
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in (0, 1)], names=["feature", "about"])
+        return pa.RecordBatch.from_arrays(columns, names=["feature", "about", "first"])
 
     for batch in batches:
         for text in batch.column("text"):
-            words = ["", *WORD.findall((text.as_py() or "").lower()), ""]
+            words, met = ["", *WORD.findall((text.as_py() or "").lower()), ""], set()
             for i in range(1, len(words) - 1):
                 about = f"{words[i - 1]} {words[i + 1]}"
-                seen.update((f, about) for f in features_of(words[i]))
+                for feature in features_of(words[i]):
+                    seen[feature, about] = max(seen.get((feature, about), 0), int(feature not in met))
+                    met.add(feature)
                 if len(seen) > 50_000:
                     yield handed()
     yield handed()
 
 
-def _in_texts(wanted):
-    """(feature, n): in how many of the texts each wanted feature is."""
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(toxic, rows, words) of each batch's texts."""
+    for batch in batches:
+        words = pa.array([len(WORD.findall((t.as_py() or "").lower())) for t in batch.column("text")], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array([1] * len(words), pa.int64()), words], names=["toxic", "rows", "words"])
+
+
+def _occurrences(wanted):
+    """(feature, n): how often each wanted feature stands in the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, total = wanted.value, Counter()
         for batch in batches:
             for text in batch.column("text"):
-                total.update({f for w in set(WORD.findall((text.as_py() or "").lower())) for f in features_of(w)} & known)
+                total.update(f for w in WORD.findall((text.as_py() or "").lower()) for f in features_of(w) if f in known)
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["feature", "n"])
 
     return run
@@ -220,6 +238,23 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 50)
     return w
 
 
+def rising(x: np.ndarray, y: np.ndarray, free: int) -> np.ndarray:
+    """A logistic model whose weights are zero or more, but for column ``free`` and the constant.
+
+    The column with the lowest weight below zero is left out, until none has such a weight.
+    """
+    columns = list(range(x.shape[1]))
+    while True:
+        fitted = logistic(x[:, columns], y)
+        below = [(w, c) for w, c in zip(fitted[:-1], columns, strict=True) if w < 0 and c != free]
+        if not below:
+            break
+        columns.remove(min(below)[1])
+    weights = np.zeros(x.shape[1] + 1)
+    weights[[*columns, -1]] = fitted
+    return weights
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, scratch: Scratch | None = None) -> Model:
     """Learn the lexicon and the weights from labelled rows that are not held out.
 
@@ -229,32 +264,30 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, scratch: Scrat
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "toxicity")
     sample = learning_rows(docs, labels, scratch, rows).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    bad, good = sizes.get(1, 0), sizes.get(0, 0)
+    totals = sample.mapInArrow(releasing(_sizes), "toxic int, rows long, words long").groupBy("toxic").agg(F.sum("rows").alias("rows"), F.sum("words").alias("words"))
+    sizes = {r.toxic: r for r in totals.collect()}
+    if 0 not in sizes or 1 not in sizes:
+        rate = min(max(float(1 in sizes), 1e-9), 1 - 1e-9)
+        return Model({}, [0.0] * (len(LADDER) + 1) + [float(np.log(rate / (1 - rate)))])
     offers = (
         sample.filter("toxic = 1")
-        .mapInArrow(releasing(_surroundings), "feature string, about string")
-        .distinct()
+        .mapInArrow(releasing(_surroundings), "feature string, about string, first int")
+        .groupBy("feature", "about")
+        .agg(F.max("first").alias("first"))
         .groupBy("feature")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= SUPPORT)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("first").alias("texts"))
+        .filter(F.col("texts") >= SUPPORT)
         .collect()
     )
     wanted = spark.sparkContext.broadcast({r.feature for r in offers})
-    in_bad, in_good = (
-        {
-            r.feature: r.n
-            for r in sample.filter(F.col("toxic") == kind).mapInArrow(releasing(_in_texts(wanted)), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
-        }
-        for kind in (1, 0)
-    )
-    odds = {f: float(np.log((n + 0.5) / (bad + 1)) - np.log((in_good.get(f, 0) + 0.5) / (good + 1))) for f, n in in_bad.items()}
+    harmless = sample.filter("toxic = 0").mapInArrow(releasing(_occurrences(wanted)), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    elsewhere = {r.feature: r.n for r in harmless.collect()}
+    odds = {
+        r.feature: float(np.log((r.n + 0.5) / max(1, sizes[1].words)) - np.log((elsewhere.get(r.feature, 0) + 1) / max(1, sizes[0].words))) for r in offers
+    }
     lexicon = {f: o for f, o in odds.items() if o >= LEAST_ODDS}
     marked = sample.mapInArrow(releasing(_marks_of(spark.sparkContext.broadcast(lexicon))), "toxic int, marks array<double>").collect()
-    if not bad or not good:
-        rate = min(max(bad / max(1, bad + good), 1e-9), 1 - 1e-9)
-        return Model({}, [0.0] * len(MARKS) + [float(np.log(rate / (1 - rate)))])
-    weights = logistic(np.array([r.marks for r in marked]), np.array([r.toxic for r in marked], float))
+    weights = rising(np.array([r.marks for r in marked]), np.array([r.toxic for r in marked], float), len(LADDER))
     return Model(lexicon, weights.tolist())
 
 
@@ -284,7 +317,11 @@ def predicted(threshold: float = THRESHOLD) -> Column:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that score below the threshold, with all their columns."""
+    """The documents that score below the threshold, with all their columns.
+
+    A null text scores like an empty one; repeated rows stay or go together; null ids and
+    other columns pass unchanged. Without documents or labels nothing goes.
+    """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
     schema = docs.schema
 

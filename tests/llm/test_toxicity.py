@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 from helpers import docs_of, prose
 from pyspark.sql import functions as F
@@ -83,3 +84,43 @@ def test_nulls_empty_and_extra_columns(spark):
     assert got[0][1] == got[1][1] < 0.2 and got[2] == got[3] and got[2][2]
     left = tox.without_toxic(docs, labels)
     assert left.columns == docs.columns and 1_000 < left.count() < 1_250
+
+
+def test_beginnings_that_harmless_texts_hold_by_chance(spark):
+    """A beginning that stands often in short toxic texts is learned although long harmless ones have it now and then."""
+    rng = random.Random(4)
+    texts, labels = [], []
+    for i in range(900):
+        toxic = int(i % 6 == 0)
+        words = prose(rng, 30 if toxic else 300).split()
+        for _ in range(5 if toxic else int(rng.random() < 0.3)):
+            words.insert(rng.randrange(len(words)), "zorgb" + prose(rng, 1))
+        texts.append(" ".join(words))
+        labels.append((i, 1, toxic))
+    docs, labels = docs_of(spark, texts), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = tox.fit(docs, labels)
+    assert "zorgb*" in model.lexicon
+    rows = tox.scored(docs, model).join(labels, "doc_id").filter(tox.held_out()).withColumn("predicted", tox.predicted()).collect()
+    assert sum(r.predicted == r.toxic for r in rows) / len(rows) > 0.97
+
+
+def test_copies_of_one_text_teach_no_words(spark):
+    rng = random.Random(5)
+    odd = prose(rng, 30) + " plimwick " + prose(rng, 30)
+    texts = [odd] * 60 + [prose(rng, 60) for _ in range(300)]
+    labels = spark.createDataFrame([(i, 1, int(i < 60)) for i in range(360)], "doc_id long, quality int, toxic int")
+    assert tox.fit(docs_of(spark, texts), labels).lexicon == {}
+
+
+def test_rising_weights():
+    rng = np.random.default_rng(3)
+    x = rng.random((400, 3))
+    y = (x[:, 0] - x[:, 1] - x[:, 2] + rng.normal(0, 0.2, 400) > 0).astype(float)
+    weights = tox.rising(x, y, 2)
+    assert weights[0] > 0 and weights[1] == 0 and weights[2] < 0
+
+
+def test_aimed_weighs_no_less_than_plain_and_negated():
+    lexicon, weights = {"zorgblat": 4.0}, [1.0, 0.5, 0.25, 0.5, 0.5, -0.5, -3.0]
+    scores = [tox.Model(lexicon, weights).score(tox.Lexicon(lexicon).marks(t)) for t in ("so not zorgblat", "so so zorgblat", "so you zorgblat")]
+    assert scores == sorted(scores) and len(set(scores)) == 3
