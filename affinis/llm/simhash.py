@@ -20,9 +20,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from affinis.llm.scratch import Scratch
 from affinis.llm.tasks import releasing
+from affinis.operators.joins import weighted_lookup
 
 BITS = 64
 DISTANCE = 3
@@ -211,9 +213,9 @@ def links(prints: DataFrame, scratch: Scratch, distance: int = DISTANCE) -> Data
     )
     # A bucket without an own fingerprint, or with nothing else, has no pair.
     sizes = sizes.filter((F.col("n_own") > 0) & (F.col("n_own") + F.col("n_asks") > 1)).select(
-        "g", "key", F.ceil(F.col("n_own") / BLOCK).cast("int").alias("rows"), F.ceil((F.col("n_own") + F.col("n_asks")) / BLOCK).cast("int").alias("cols")
+        "g", "key", (F.col("n_own") + F.col("n_asks")).alias("n"), F.ceil(F.col("n_own") / BLOCK).cast("int").alias("rows"), F.ceil((F.col("n_own") + F.col("n_asks")) / BLOCK).cast("int").alias("cols")
     )
-    met = both.join(sizes, ["g", "key"])
+    met = weighted_lookup(both, scratch.written(sizes, "sizes"), ["g", "key"], "n", "print")
     place = F.xxhash64("print", F.lit(7))
     row, col = F.pmod(place, F.col("rows")).cast("int"), F.pmod(F.xxhash64("print", F.lit(11)), F.col("cols")).cast("int")
     as_own = (
@@ -239,7 +241,8 @@ def smallest_reachable(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, least): the smallest node reachable from each node of ``edges`` (a, b), itself included.
 
     Rounds of hooking every neighbour to the least one known, until nothing changes;
-    a round groups and joins, and no node's neighbours are ever held together.
+    a round groups and joins, and no node's neighbours are ever held together: those of
+    a node with very many are spread over tasks.
     """
     now = scratch.written(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges-0"
@@ -247,12 +250,13 @@ def smallest_reachable(edges: DataFrame, scratch: Scratch) -> DataFrame:
     before, turn = None, 0
     while True:
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = scratch.written(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n")), f"least-{turn}")
         # Large star: larger neighbours hook to the least; then small star among what is smaller.
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        hooked = weighted_lookup(both.filter("v > u"), least, ["u"], "n", "v")
+        large = scratch.written(hooked.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), f"large-{turn}")
+        low = scratch.written(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), f"low-{turn}")
         small = (
-            large.join(low, "u")
+            weighted_lookup(large, low, ["u"], "n", "v")
             .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.*")
             .filter("u <> v")
@@ -261,13 +265,24 @@ def smallest_reachable(edges: DataFrame, scratch: Scratch) -> DataFrame:
         turn += 1
         after = scratch.written(small, f"edges-{turn}")
         state = after.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        scratch.drop(f"edges-{turn - 1}")
+        for name in ("edges", "least", "large", "low"):
+            scratch.drop(f"{name}-{turn - 1}")
         now = after
         if (state.n, state.s) == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("least"))
         before = (state.n, state.s)
 
 
+def _rooted(docs: DataFrame, distance: int, size: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The fingerprint of every row, and of every distinct one its root, smallest ``doc_id`` and number of rows."""
+    prints = scratch.written(fingerprints(docs, size), "prints")
+    distinct = scratch.written(prints.groupBy("print").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_rows")), "distinct")
+    found = scratch.written(links(distinct.select("print"), scratch, distance), "links")
+    hooked = smallest_reachable(found, scratch)
+    named = distinct.join(hooked.withColumnRenamed("node", "print"), "print", "left").withColumn("root", F.coalesce("least", "print")).drop("least")
+    return prints, scratch.written(named, "named")
+
+
 def components(docs: DataFrame, distance: int = DISTANCE, size: int = SIZE, scratch: Scratch | None = None) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs`` (doc_id, text).
 
@@ -276,26 +291,42 @@ def components(docs: DataFrame, distance: int = DISTANCE, size: int = SIZE, scra
     the component are null. Repeated rows each give a row. Other columns are ignored.
     """
     scratch = scratch or Scratch(docs.sparkSession, "simhash")
-    prints = scratch.written(fingerprints(docs, size), "prints")
-    distinct = scratch.written(prints.groupBy("print").agg(F.min("doc_id").alias("first_id")), "distinct")
-    found = scratch.written(links(distinct.select("print"), scratch, distance), "links")
-    hooked = smallest_reachable(found, scratch)
-    named = scratch.written(
-        distinct.join(hooked.withColumnRenamed("node", "print"), "print", "left").withColumn("root", F.coalesce("least", "print")).drop("least"),
-        "named",
+    prints, named = _rooted(docs, distance, size, scratch)
+    lowest = scratch.written(named.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("n")), "lowest")
+    classes = scratch.written(weighted_lookup(named, lowest, ["root"], "n", "print").select("print", "component_id", "n_rows"), "classes")
+    return weighted_lookup(prints, classes, ["print"], "n_rows", "doc_id").select(
+        "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )
-    lowest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = named.join(lowest, "root").select("print", "component_id")
-    return prints.join(classes, "print").select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _with_prints(size: int):
+    """(row, print): the rows as they are, and the fingerprints of their texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = np.fromiter((fingerprint(t.as_py(), size) for t in batch.column("text")), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(prints.view(np.int64))], names=["row", "print"])
+
+    return run
 
 
 def one_of_each(docs: DataFrame, distance: int = DISTANCE, size: int = SIZE) -> DataFrame:
-    """The documents with the smallest ``doc_id`` of their component, all columns; repeated rows of it stay one.
+    """One document of each component, all columns: that with the smallest ``doc_id``.
 
-    Rows without ``doc_id`` stay: nothing tells which of them to prefer.
+    Where several rows have that id, the one with the smallest fingerprint stays for the
+    component, and rows of one id in several components stay once for each. Rows
+    without ``doc_id`` stay: nothing tells which of them to prefer.
     """
     scratch = Scratch(docs.sparkSession, "one")
-    found = components(docs.select("doc_id", "text"), distance, size, scratch)
-    kept = scratch.written(found.filter("doc_id = component_id").select("doc_id").distinct(), "kept")
-    first = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return first.unionByName(docs.filter("doc_id is null"))
+    prints, named = _rooted(docs.select("doc_id", "text"), distance, size, scratch)
+    least = named.filter("first_id is not null").groupBy("root").agg(F.min(F.struct("first_id", "print")).alias("at"))
+    kept = scratch.written(least.select(F.col("at.first_id").alias("doc_id"), "at.print"), "kept")
+    again = scratch.written(prints.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"), "again")
+    single = docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").join(again, "doc_id", "left_anti").select(*docs.columns)
+    # Only rows whose id is on others as well are told apart by their fingerprints.
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    shared = docs.join(again, "doc_id", "left_semi").select(whole, "text")
+    row_type = T.StructType([T.StructField("row", shared.schema["row"].dataType), T.StructField("print", T.LongType())])
+    told = shared.mapInArrow(releasing(_with_prints(size)), row_type).withColumn("doc_id", F.col("row.doc_id").cast("long"))
+    first = told.join(kept, ["doc_id", "print"], "left_semi").dropDuplicates(["doc_id", "print"]).select("row.*")
+    return single.unionByName(first).unionByName(docs.filter("doc_id is null"))

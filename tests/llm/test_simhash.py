@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from affinis.llm import simhash
 from affinis.llm.scratch import Scratch
+from affinis.operators import joins
 
 
 def plain_fingerprint(text):
@@ -90,3 +91,24 @@ def test_nulls_repeats_and_empty(spark):
     assert simhash.components(docs.limit(0)).count() == 0
     left = simhash.one_of_each(docs)
     assert left.columns == docs.columns and sorted(r.doc_id or 0 for r in left.collect()) == [0, 0, 5]
+
+
+def test_rows_that_share_an_id(spark):
+    """Of one id, every component keeps a row; near copies of one id keep one."""
+    rng = random.Random(7)
+    first, second = prose(rng, 60), prose(rng, 60)
+    rows = [(5, first, "a"), (5, second, "b"), (5, second, "b"), (6, first, "c"), (9, prose(rng, 60), "d"), (9, "", "e"), (10, None, "f")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, print string")
+    left = simhash.one_of_each(docs)
+    assert left.columns == docs.columns
+    assert sorted(tuple(r) for r in left.collect()) == sorted([rows[0], rows[1], rows[4], rows[5]])
+
+
+def test_hub_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(joins, "ROWS_PER_SALT", 5)
+    edges = [(0, i) for i in range(1, 60)] + [(i, 99) for i in range(70, 98)]
+    found = {r.node: r.least for r in simhash.smallest_reachable(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "hub")).collect()}
+    assert found == dict.fromkeys(range(1, 60), 0) | dict.fromkeys([*range(71, 98), 99], 70)
+    texts = [prose(random.Random(1), 50)] * 40 + [prose(random.Random(2), 50)] * 30
+    got = simhash.components(docs_of(spark, texts)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(i, 0 if i < 40 else 40) for i in range(70)]
