@@ -26,6 +26,7 @@ from affinis.llm.decontaminate import filter_words, passes
 from affinis.llm.scratch import Scratch
 from affinis.llm.tasks import releasing
 from affinis.llm.words import STEP, Words, byte_slices, mix, plain, spans
+from affinis.operators.joins import weighted_lookup
 
 WINDOW = 35
 ROWS_AT_ONCE = 500  # rows in one batch handed on
@@ -227,8 +228,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, scratch: Scratch | No
         "in-question",
     )
     held = whole.filter("cuts is not null").select("text", "cuts", "row_at").mapInArrow(releasing(_windows(window)), "cut long, hash long, row_at long, at int")
-    repeated = held.groupBy("cut", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    places = held.join(repeated, ["cut", "hash"], "left_semi").groupBy("row_at").agg(F.collect_list("at").alias("repeated"))
+    repeated = scratch.written(held.groupBy("cut", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated")
+    found = weighted_lookup(held, repeated, ["cut", "hash"], "n", "row_at")  # a window of very many rows goes to several tasks
+    places = found.groupBy("row_at").agg(F.collect_list("at").alias("repeated"))
     out = T.StructType(
         [T.StructField("row", row_type), T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
     )
@@ -238,7 +240,11 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, scratch: Scratch | No
 
 
 def cleaned(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with repeated passages cut out of ``text`` and ``n_chars`` counted again where something went."""
+    """``docs`` with repeated passages cut out of ``text`` and ``n_chars`` counted again where something went.
+
+    Every row stays, null ids and texts and repeated rows included (which lose each other's windows); texts that
+    lose nothing stay as they are, white space included. An empty table gives none.
+    """
     found = without_repeats(docs, window)
     lost = F.col("n_removed") > 0
     text = F.when(lost, F.col("kept")).otherwise(F.col("text"))

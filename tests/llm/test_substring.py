@@ -4,6 +4,7 @@ import pytest
 from helpers import docs_of, prose, without_repeats
 
 from affinis.llm import substring
+from affinis.operators import joins
 
 
 def check(spark, texts, window=35):
@@ -88,3 +89,13 @@ def test_other_windows(spark, window):
     rng = random.Random(window)
     shared = prose(rng, window)
     check(spark, [f"{prose(rng, 10)} {shared}", f"{shared} {prose(rng, 10)}", prose(rng, 80)], window)
+
+
+def test_window_of_very_many_rows(spark, monkeypatch):
+    """Its rows go to several tasks, and nothing is lost for that."""
+    monkeypatch.setattr(joins, "ROWS_PER_SALT", 5)
+    rng = random.Random(9)
+    shared = prose(rng, 50)
+    texts = [f"{prose(rng, 5)} {shared} {prose(rng, 5)}" for _ in range(60)] + [prose(rng, 60)]
+    got = substring.without_repeats(docs_of(spark, texts)).collect()
+    assert sorted((r.row.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == [(i, *w) for i, w in enumerate(without_repeats(texts))]
