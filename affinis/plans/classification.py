@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from affinis.functions.vectors import cross_entropy, sigmoid
 from affinis.operators import metrics
 from affinis.operators.classifier import GradientDescent, gradient_step
+from affinis.operators.estimator import DescentClassifier
 from affinis.plans.registry import query, table
+from affinis.session import scratch_path
 from affinis.streaming import scoring
 
 FEATURES = ["quantity", "discount", "tax"]
@@ -142,6 +145,18 @@ def predicted_classes(spark, sf):
     return fitted(spark, sf).predict(items(spark, sf), 0.35).select(*KEYS, "prediction")
 
 
+@query(
+    "pipeline_saved",
+    f"WITH {SQL_SCORED} SELECT {', '.join(KEYS)}, round(p, 6) AS probability, CAST(p > 0.35 AS BIGINT) AS prediction FROM scored",
+)
+def pipeline_saved(spark, sf):
+    """The classifier as a stage of an ML pipeline, fitted, saved, loaded and asked."""
+    rows, path = items(spark, sf), scratch_path(spark, "pipeline")
+    stage = DescentClassifier(inputCols=FEATURES, learningRate=RATE, iterations=STEPS, tolerance=0.0, threshold=0.35)
+    Pipeline(stages=[stage]).fit(rows).write().overwrite().save(path)
+    return PipelineModel.load(path).transform(rows).select(*KEYS, F.round("probability", 6).alias("probability"), "prediction")
+
+
 @query(
     "streamed_scores",
     f"WITH {SQL_SCORED} SELECT {', '.join(KEYS)}, round(p, 6) AS probability, CAST(p > 0.35 AS BIGINT) AS prediction FROM scored",

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from affinis.functions.text import tokens
 from affinis.operators import vocabulary as voc
+from affinis.operators.estimator import ml_vectors, vectoriser
 from affinis.operators.recommend import ProfileIndex
 from affinis.plans import orders_profile as op
 from affinis.plans.registry import query, table
@@ -71,6 +73,20 @@ def vocabulary_with_limits(spark, sf):
     return limited_vocabulary(spark, sf)
 
 
+@query(
+    "vectoriser_saved",
+    f"WITH {SQL_LIMITED} SELECT doc_id, idx, cnt FROM doc_terms JOIN limited USING (token)",
+)
+def vectoriser_saved(spark, sf):
+    """The limited vocabulary as an ML model of term counts, saved, loaded and applied; the places of its vectors that are not zero."""
+    path = scratch_path(spark, "vectoriser")
+    landing.save_vectoriser(vectoriser(limited_vocabulary(spark, sf)), path)
+    vectors = voc.term_vectors(table(spark, sf, "documents"), "doc_id", "text", False)
+    counted = ml_vectors(vectors, landing.load_vectoriser(path)).select("doc_id", vector_to_array("counts").alias("counts"))
+    places = F.filter(F.transform("counts", lambda n, i: F.struct(i.cast("bigint").alias("idx"), n.cast("bigint").alias("cnt"))), lambda at: at["cnt"] > 0)
+    return counted.select("doc_id", F.inline(places))
+
+
 SQL_FROZEN = SQL_DOC_TERMS + """,
 known AS MATERIALIZED (SELECT token, row_number() OVER (ORDER BY token) - 1 AS idx FROM stats)"""
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,3 +113,11 @@ def load_index(
     index = ProfileIndex(features, vectors, spec, stemming, vocabulary)
     index.check()
     return index
+
+
+def save_vectoriser(model: CountVectorizerModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_vectoriser(path: str) -> CountVectorizerModel:
+    return CountVectorizerModel.load(path)
