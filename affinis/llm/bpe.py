@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from affinis.llm.tasks import releasing
+from affinis.llm.tasks import give_back, releasing
 
 TEXT_CHARS = 16 << 20  # of text whose distinct words are merged together
 OUT_TOKENS = 1 << 20  # in one batch handed on
@@ -250,7 +250,7 @@ def decode(encoded: list[np.ndarray], known: Vocabulary) -> list[bytes]:
     return out
 
 
-def _coded(path: str):
+def _coded(path: str, text_chars: int, out_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path)
         encoder, doc_ids, size = Encoder(known), [], 0
@@ -269,7 +269,7 @@ def _coded(path: str):
             for ids in encoder.ids():
                 part.append(ids)
                 weight += len(ids)
-                if weight >= OUT_TOKENS:
+                if weight >= out_tokens:
                     yield batch_of(whole.slice(first, len(part)), part)
                     part, first, weight = [], first + len(part), 0
             yield batch_of(whole.slice(first), part)
@@ -280,10 +280,11 @@ def _coded(path: str):
                 text = texts[i].as_py() or ""
                 encoder.take(text)
                 size += len(text)
-                if size >= TEXT_CHARS:
+                if size >= text_chars:
                     doc_ids.append(batch.column("doc_id").slice(at, i + 1 - at))
                     yield from handed()
                     encoder, doc_ids, size, at = Encoder(known), [], 0, i + 1
+                    give_back()
             doc_ids.append(batch.column("doc_id").slice(at))
         if doc_ids:
             yield from handed()
@@ -291,14 +292,15 @@ def _coded(path: str):
     return run
 
 
-def coded(docs: DataFrame, path: str) -> DataFrame:
+def coded(docs: DataFrame, path: str, text_chars: int | None = None, out_tokens: int | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) of every text: ids as little-endian unsigned 32-bit numbers.
 
     ``path`` names the tokenizer's file, which every executor has. The text is whole,
     however long. A null or empty text has no ids and decodes to an empty text; the
     special tokens' spellings in a text are those tokens. Rows, repeated or with a null
-    ``doc_id``, stay one each; other columns of ``docs`` are ignored.
+    ``doc_id``, stay one each; other columns of ``docs`` are ignored. ``text_chars`` and
+    ``out_tokens`` (None: the module's) bound what a task holds at once (a longer text is held whole); the rows are the same.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, n_tokens long, ids binary, decoded string"
-    return docs.select("doc_id", "text").mapInArrow(releasing(_coded(path)), schema)
+    return docs.select("doc_id", "text").mapInArrow(releasing(_coded(path, text_chars or TEXT_CHARS, out_tokens or OUT_TOKENS)), schema)
