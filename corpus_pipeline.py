@@ -39,7 +39,7 @@ def drop_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256): ids as little-endian unsigned 32-bit numbers, the digest of the text decoded from them."""
-    coded = bpe.coded(docs, TOKENIZER)
+    coded = bpe.coded(docs, TOKENIZER, text_chars=4 << 20, out_tokens=1 << 18)  # small blocks: earlier stages left the executors little room
     return coded.select("doc_id", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
