@@ -6,7 +6,8 @@ cheapest way to make it so: a turn is kept, merged into the one before it, given
 another role, or preceded by an empty turn. Its step is a matrix of costs from state to
 state, so a conversation is cut into segments of a bounded number of turns: segments
 are summed up by their matrices, the states between them are chosen, and each segment
-is then traced by itself.
+is then traced by itself. Many segments are cut and summed up in the same way, until
+a conversation is one.
 """
 
 from __future__ import annotations
@@ -20,7 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SEGMENT = 512  # numbers of turns in one segment
+from affinis.llm.scratch import Scratch
+from affinis.operators.ordering import positions
+
+SEGMENT = 512  # turns in one segment, segments in one of the next level
 START, SYSTEM, USER, ASSISTANT = range(4)
 ROLES = {"system": SYSTEM, "user": USER, "assistant": ASSISTANT}
 NAMES = {state: role for role, state in ROLES.items()}
@@ -117,13 +121,19 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[
         yield key, rows
 
 
-def _matrices(machine: Automaton):
+COSTS = "conv_id long, segment long, costs array<double>"
+ENTRIES = "conv_id long, segment long, state int, goal array<double>, last boolean, cost double"
+
+
+def _summed_up(key: str, matrix):
+    """One matrix for all rows of a (conv_id, key), in their order; ``matrix`` gives that of a row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
-        for (conv, segment), rows in _runs(batches, ["conv_id", "segment"]):
+        for (conv, segment), rows in _runs(batches, ["conv_id", key]):
             whole = np.where(np.eye(4, dtype=bool), 0.0, FAR)
             for row in rows:
-                whole = summed(whole, machine.matrices[ROLES.get(row["role"])])
+                whole = summed(whole, matrix(row))
             out.append((conv, segment, whole.ravel().tolist()))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.list_(pa.float64()))],
@@ -133,33 +143,55 @@ def _matrices(machine: Automaton):
     return run
 
 
-def _entries(machine: Automaton):
-    """The state in which the cheapest repair enters each segment, and the costs of what follows it."""
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The state in which the cheapest repair enters each segment of a part, and the one in which it has to leave it.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (conv,), rows in _runs(batches, ["conv_id"]):
-            costs = np.array([r["costs"] for r in rows]).reshape(-1, 4, 4)
-            ahead = np.empty((len(rows) + 1, 4))
-            ahead[-1] = machine.ending()
-            for i in range(len(rows) - 1, -1, -1):
-                ahead[i] = (costs[i] + ahead[i + 1][None, :]).min(1)
-            state, states = START, []
-            for i in range(len(rows)):
-                states.append(state)
-                state = int(np.argmin(costs[i][state] + ahead[i + 1]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([conv] * len(rows), pa.int64()),
-                    pa.array([r["segment"] for r in rows], pa.int64()),
-                    pa.array(states, pa.int32()),
-                    pa.array(ahead[1:].tolist(), pa.list_(pa.float64())),
-                    pa.array([i == len(rows) - 1 for i in range(len(rows))]),
-                    pa.array([float(ahead[0][START])] * len(rows)),
-                ],
-                names=["conv_id", "segment", "state", "goal", "last", "cost"],
-            )
+    The latter as costs of what follows: nothing in that state, no way on from others, as with equal costs
+    a segment's own steps could end in another. Rows hold the same of their part: state, goal, whether it is the conversation's last, and the whole
+    cost (null for a part that is the whole conversation).
+    """
+    for (conv, _), rows in _runs(batches, ["conv_id", "part"]):
+        costs = np.array([r["costs"] for r in rows]).reshape(-1, 4, 4)
+        ahead = np.empty((len(rows) + 1, 4))
+        ahead[-1] = rows[0]["goal"]
+        for i in range(len(rows) - 1, -1, -1):
+            ahead[i] = (costs[i] + ahead[i + 1][None, :]).min(1)
+        state, states = rows[0]["state"], []
+        total = float(ahead[0][state]) if rows[0]["cost"] is None else rows[0]["cost"]
+        for i in range(len(rows)):
+            states.append(state)
+            state = int(np.argmin(costs[i][state] + ahead[i + 1]))
+        goals = [np.where(np.arange(4) == after, 0.0, FAR).tolist() for after in states[1:]] + [rows[0]["goal"]]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([conv] * len(rows), pa.int64()),
+                pa.array([r["segment"] for r in rows], pa.int64()),
+                pa.array(states, pa.int32()),
+                pa.array(goals, pa.list_(pa.float64())),
+                pa.array([rows[0]["last"] and i == len(rows) - 1 for i in range(len(rows))]),
+                pa.array([total] * len(rows)),
+            ],
+            names=["conv_id", "segment", "state", "goal", "last", "cost"],
+        )
 
-    return run
+
+def _entered(matrices: DataFrame, most: int, machine: Automaton, scratch: Scratch) -> DataFrame:
+    """Entries of all segments from their matrices; ``most`` is the largest number of a segment.
+
+    Only SEGMENT of them meet in one list, so there are as many levels as the longest conversation needs.
+    """
+    if most < SEGMENT:
+        ending = F.array(*[F.lit(float(c)) for c in machine.ending()])
+        parts = matrices.select(
+            "*", F.lit(0).alias("part"), F.lit(START).alias("state"), ending.alias("goal"), F.lit(True).alias("last"), F.lit(None).cast("double").alias("cost")
+        )
+    else:
+        cut = scratch.written(matrices, f"matrices_{most}").withColumn("part", F.floor(F.col("segment") / SEGMENT))
+        dealt = cut.repartition("conv_id", "part").sortWithinPartitions("conv_id", "part", "segment")
+        wholes = dealt.mapInArrow(_summed_up("part", lambda row: np.array(row["costs"]).reshape(4, 4)), COSTS)
+        above = _entered(wholes, most // SEGMENT, machine, scratch).withColumnRenamed("segment", "part")
+        parts = cut.join(above, ["conv_id", "part"])
+    return parts.repartition("conv_id", "part").sortWithinPartitions("conv_id", "part", "segment").mapInArrow(_entries, ENTRIES)
 
 
 PIECES = "conv_id long, segment long, place int, turn long, role string, action string, cost double, rendered string"
@@ -204,30 +236,35 @@ def repaired(turns: DataFrame, costs: Costs = Costs(), closing: str = "<|end|>\n
     ``turns`` has conv_id, turn, role and text; other columns are ignored. Returns
     conv_id, segment, place, turn, role, action, cost and rendered: the ``rendered``
     of a conversation in the order of (segment, place) are the formatted text, and
-    ``cost`` is that of its whole repair. Turns are taken in the order of ``turn``, then
-    role and text (repeated rows stay turns of their own); turns without a number come
-    last. A role that is null or unknown must be relabelled, a null text is empty, and
-    turns with a null ``conv_id`` belong to no conversation and give no rows.
+    ``cost`` is that of its whole repair. Turns are taken in the order of ``turn``; those
+    of one number go by role (system, user, assistant, then any other) and by a digest of
+    the text (repeated rows stay turns of their own); turns without a number come last.
+    A role that is null or unknown must be relabelled, a null text is empty, and turns
+    with a null ``conv_id`` belong to no conversation and give no rows. An empty table
+    gives none either. Segments are cut by position, so a conversation of any length or
+    of one repeated number is spread over tasks.
     """
-    machine = Automaton(costs)
-    order = ["turn", "role", "text"]
-    last = F.lit((1 << 62) // SEGMENT)
-    nameless = last + F.pmod(F.xxhash64("role", "text"), F.lit(1 << 16))
-    rows = (
-        turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
-        .filter("conv_id is not null")
-        .withColumn("segment", F.when(F.col("turn").isNull(), nameless).otherwise(F.floor(F.col("turn") / SEGMENT)).cast("long"))
-    )
-    dealt = rows.repartition("conv_id", "segment").sortWithinPartitions("conv_id", "segment", *order)
-    matrices = dealt.mapInArrow(_matrices(machine), "conv_id long, segment long, costs array<double>")
-    entries = (
-        matrices.repartition("conv_id")
-        .sortWithinPartitions("conv_id", "segment")
-        .mapInArrow(_entries(machine), "conv_id long, segment long, state int, goal array<double>, last boolean, cost double")
-    )
-    return (
-        rows.join(entries, ["conv_id", "segment"])
-        .repartition("conv_id", "segment")
-        .sortWithinPartitions("conv_id", "segment", *order)
-        .mapInArrow(_pieces(machine, closing), PIECES)
+    machine, scratch = Automaton(costs), Scratch(turns.sparkSession, "chat")
+    rank = F.coalesce(*[F.when(F.col("role") == role, F.lit(state)) for role, state in ROLES.items()], F.lit(len(NAMES) + 1))
+    rows = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").filter("conv_id is not null")
+    keyed = rows.select(
+        "*",
+        F.col("turn").isNull().cast("int").alias("unnumbered"),
+        F.coalesce("turn", F.lit(0)).alias("number"),
+        F.concat(rank.cast("string"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("tie"),
+        F.monotonically_increasing_id().alias("row_at"),
     )
+    held = scratch.written(keyed, "turns")  # fixes the numbers of equal rows
+    at = positions(held, ["unnumbered", "number", "tie", "row_at"], ["conv_id"])
+    cut = at.select("conv_id", "turn", "role", "text", "position", F.floor(F.col("position") / SEGMENT).cast("long").alias("segment"))
+    placed = scratch.written(cut, "placed")
+    scratch.drop("turns")
+    most = placed.agg(F.max("segment")).first()[0] or 0
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition("conv_id", "segment").sortWithinPartitions("conv_id", "segment", "position")
+
+    roles = dealt(placed.select("conv_id", "segment", "position", "role"))
+    matrices = roles.mapInArrow(_summed_up("segment", lambda row: machine.matrices[ROLES.get(row["role"])]), COSTS)
+    entries = _entered(matrices, most, machine, scratch)
+    return dealt(placed.join(entries, ["conv_id", "segment"])).mapInArrow(_pieces(machine, closing), PIECES)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from affinis.llm import bpe, chat, decontaminate, html_text, lm, simhash, substring, topk, toxicity, warc
@@ -32,7 +33,7 @@ def op2(spark, sf):
 
 
 #: File of the tokenizer; every executor has it at this place.
-TOKENIZER = os.environ.get("WORD_BPE_FILE", "/opt/tokenizers/word_bpe_49k.json")
+TOKENIZER = os.environ.get("WORD_BPE_FILE") or public_tokenizers.path("word_bpe_49k.json")
 
 
 @query("op3_bpe")

@@ -1,4 +1,7 @@
 import heapq
+import random
+import re
+from collections import Counter
 from itertools import product
 
 from affinis.llm import chat
@@ -77,3 +80,54 @@ def test_segments_give_the_same_repair(spark, monkeypatch):
     numbers = [chat.ROLES.get(r) for r in roles]
     assert {r.cost for r in whole} == {r.cost for r in parts} == {cheapest(numbers)}
     assert rendered(whole, 1) == rendered(parts, 1)
+
+
+def replayed(pieces, conv, turns):
+    """Checks one conversation's pieces by themselves: a legal sequence, every turn once and in order, at the cheapest cost."""
+    own = sorted((r for r in pieces if r.conv_id == conv), key=lambda r: (r.segment, r.place))
+    blocks = re.findall(r"<\|(\w+)\|>\n(.*?)<\|end\|>\n", rendered(pieces, conv), flags=re.S)
+    assert "".join(f"<|{role}|>\n{text}<|end|>\n" for role, text in blocks) == rendered(pieces, conv)
+    states = [chat.START, *(chat.ROLES[role] for role, _ in blocks)]
+    assert all(step in chat.LEGAL for step in zip(states, states[1:], strict=False)) and states[-1] in chat.ACCEPTED
+    expected, made = [], 0.0
+    for r in own:
+        if r.action == "insert":
+            expected.append((r.role, ""))
+            made += 3
+            continue
+        role, text = turns[sum(p.action != "insert" for p in own[: own.index(r)])]
+        made += 2 * ("relabel" in r.action) + ("merge" in r.action)
+        assert ("relabel" in r.action) == (role != r.role)
+        if "merge" in r.action:
+            expected[-1] = (r.role, f"{expected[-1][1]}\n{text}")
+        else:
+            expected.append((r.role, text))
+    assert blocks == expected and sum(r.action != "insert" for r in own) == len(turns)
+    assert {r.cost for r in own} == {made} == {cheapest([chat.ROLES.get(role) for role, _ in turns])}
+
+
+def test_sequences_against_search(spark, monkeypatch):
+    """Random conversations, at a segment size that takes several levels."""
+    monkeypatch.setattr(chat, "SEGMENT", 3)
+    drawn = random.Random(7)
+    turns = {c: [(drawn.choice(["system", "user", "user", "assistant", "assistant", "bot", None]), f"t{c}-{i}") for i in range(1 + c * c)] for c in range(8)}
+    pieces = run(spark, [(c, 10 * i - 5, role, text, "x") for c, own in turns.items() for i, (role, text) in enumerate(own)])
+    assert {r.conv_id for r in pieces} == set(turns)
+    for c, own in turns.items():
+        replayed(pieces, c, own)
+
+
+def test_one_number_is_cut_by_position(spark, monkeypatch):
+    """A conversation of one repeated turn number, or of none, is many segments; equal rows as well."""
+    monkeypatch.setattr(chat, "SEGMENT", 5)
+    rows = [(1, 4, "user", "same", None)] * 60 + [(1, None, "assistant", "last", None)] * 23 + [(2, 0, "user", "x", None)]
+    pieces = run(spark, rows)
+    turns = [("user", "same")] * 60 + [("assistant", "last")] * 23
+    replayed(pieces, 1, turns)
+    sizes = Counter(r.segment for r in pieces if r.conv_id == 1 and r.action != "insert")
+    assert max(sizes.values()) == 5 and len(sizes) == 17
+
+
+def test_ties_of_a_number_go_by_role(spark):
+    rows = [(1, 0, "bot", "D", None), (1, 0, "assistant", "C", None), (1, 0, "user", "B", None), (1, 0, "system", "A", None)]
+    replayed(run(spark, rows), 1, [("system", "A"), ("user", "B"), ("assistant", "C"), ("bot", "D")])
