@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinis.llm.scratch import Scratch
+from affinis.llm.tasks import releasing
 from affinis.llm.words import NOT_ALNUM, Words, byte_slices, mix, plain, shingles
 
 SIZE = 5
@@ -172,7 +173,7 @@ def contained_items(
         "items",
     )
     sketches = scratch.written(
-        items.select("item_at", "item_text").mapInArrow(_sketches(size, threshold), "item_at long, sketch array<long>, n_item long"),
+        items.select("item_at", "item_text").mapInArrow(releasing(_sketches(size, threshold)), "item_at long, sketch array<long>, n_item long"),
         "sketches",
     )
     asked = sketches.select("item_at", "n_item", F.explode("sketch").alias("hash"))
@@ -180,7 +181,7 @@ def contained_items(
     sent = spark.sparkContext.broadcast(filter_words(asked, "hash", count))
     hit = scratch.written(
         docs.select("doc_id", "text")
-        .mapInArrow(_probe(size, sent), f"doc_id {doc_type}, text string, hits array<long>, n_most long")
+        .mapInArrow(releasing(_probe(size, sent)), f"doc_id {doc_type}, text string, hits array<long>, n_most long")
         .withColumn("doc_at", F.monotonically_increasing_id()),
         "hit",
     )
@@ -195,7 +196,7 @@ def contained_items(
         pairs.join(items, "item_at")
         .join(hit.select("doc_at", "doc_id", "text"), "doc_at")
         .select("doc_id", "text", "item_id", "item_text")
-        .mapInArrow(_verify(size, threshold), f"doc_id {doc_type}, item_id {item_type}, n_item long, n_shared long, containment double")
+        .mapInArrow(releasing(_verify(size, threshold)), f"doc_id {doc_type}, item_id {item_type}, n_item long, n_shared long, containment double")
     )
 
 

@@ -235,7 +235,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, scratch: Scratch | No
         [T.StructField("row", row_type), T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
     )
     changed = whole.select("row", "text", "row_at").join(places, "row_at", "left").select("row", "text", "repeated").mapInArrow(releasing(_kept(window)), out)
-    untouched = rows.mapInArrow(releasing(_in_question(sent, False)), plain_rows).select("row", "text").mapInArrow(releasing(_kept(window)), out)
+    look, keep = _in_question(sent, False), _kept(window)
+    untouched = rows.mapInArrow(releasing(lambda batches: keep(look(batches))), out)  # one worker for both steps
     return changed.unionByName(untouched)
 
 

@@ -25,13 +25,15 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, count: int) -> np.ndarray:
-    """base ** 0 .. base ** (count - 1), modulo 2 ** 64."""
+    """base ** 0 .. base ** (count - 1), modulo 2 ** 64; kept for the next slice unless a text is longer than slices are."""
     have = _powers.get(base)
     if have is None or len(have) < count:
-        size = -(-count // 65_536) * 65_536
+        size = -(-max(count, 1) // 65_536) * 65_536
         steps = np.full(size, base, np.uint64)
         steps[0] = 1
-        have = _powers[base] = np.multiply.accumulate(steps)
+        have = np.multiply.accumulate(steps)
+        if size <= SLICE_BYTES + 65_536:
+            _powers[base] = have
     return have[:count]
 
 

@@ -99,3 +99,13 @@ def test_window_of_very_many_rows(spark, monkeypatch):
     texts = [f"{prose(rng, 5)} {shared} {prose(rng, 5)}" for _ in range(60)] + [prose(rng, 60)]
     got = substring.without_repeats(docs_of(spark, texts)).collect()
     assert sorted((r.row.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == [(i, *w) for i, w in enumerate(without_repeats(texts))]
+
+
+def test_first_slice_without_text():
+    """A fresh worker may meet empty texts first."""
+    from affinis.llm import words
+
+    words._powers.clear()
+    assert len(words.powers(words.BASE, 0)) == 0
+    long = words.powers(words.BASE, words.SLICE_BYTES + 200_000)
+    assert len(long) == words.SLICE_BYTES + 200_000 and len(words._powers[words.BASE]) <= words.SLICE_BYTES + 65_536
