@@ -72,3 +72,11 @@ def test_names(spark):
 def test_stem(spark, word, stem):
     df = spark.createDataFrame([(word,)], "w string")
     assert add_stem(df, "w", "s").first()["s"] == stem
+
+
+def test_stem_plan_is_small(spark):
+    """The driver's share of stemming doesn't grow out of its memory: the rules are no part of the plan."""
+    df = spark.createDataFrame([("bovinos",), ("a_b",), ("",), (None,)], "w string")
+    stems = add_stem(df.distinct(), "w", "s")
+    assert len(stems._jdf.queryExecution().toString()) < 20_000
+    assert {r["w"]: r["s"] for r in stems.collect()} == {"bovinos": "bovin", "a_b": "a_b", "": "", None: None}
