@@ -29,6 +29,10 @@ def document_counts(spark, sf):
     return voc.token_counts(table(spark, sf, "documents"), "doc_id", "text")
 
 
+def profile_texts(spark, sf):
+    return written(op.features(spark, sf).select(op.SPEC.entity, op.SPEC.text), "features")
+
+
 def limited_vocabulary(spark, sf):
     return voc.fit_vocabulary(document_counts(spark, sf), max_features=1000, min_df=2, max_df=0.5)
 
@@ -47,7 +51,7 @@ def tokenised(spark, sf):
 
 @query("term_counts", f"WITH {op.SQL_TERMS} SELECT id AS id_municipio, token, cnt FROM terms")
 def term_counts(spark, sf):
-    return voc.token_counts(op.features(spark, sf), op.SPEC.entity, op.SPEC.text)
+    return voc.token_counts(profile_texts(spark, sf), op.SPEC.entity, op.SPEC.text)
 
 
 @query(
@@ -160,7 +164,7 @@ def tf_idf(spark, sf):
 @query("stemmed_vocabulary")
 def stemmed_vocabulary(spark, sf):
     """Vocabulary of stems over the profile texts (the rule table has no SQL form)."""
-    counts = voc.text_counts(op.features(spark, sf), op.SPEC.entity, op.SPEC.text, stemming=True)
+    counts = voc.text_counts(profile_texts(spark, sf), op.SPEC.entity, op.SPEC.text, stemming=True)
     return voc.fit_vocabulary(counts)
 
 

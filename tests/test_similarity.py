@@ -264,3 +264,23 @@ def test_grouped_top_k_limits_before_the_shuffle(spark):
 def test_sample_is_stable(spark):
     one = topk.seeded_sample(spark.range(100, numPartitions=1), 3, "id").collect()
     assert sorted(one) == sorted(topk.seeded_sample(spark.range(100, numPartitions=9), 3, "id").collect())
+
+
+def _spread(df):
+    """In how many tasks the rows are made; small shuffles without a number of their own are made in one."""
+    return df.select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+def test_tasks_by_size(spark, monkeypatch):
+    """Counted tokens and pairs of a task don't grow with the table; rows of one id and of none are still counted together."""
+    rows = [(i, f"a b w{i}") for i in range(200)] + [(0, "a c"), (None, "a"), (None, "a")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    monkeypatch.setattr(voc, "TASK_LETTERS", 100, raising=False)
+    counts = voc.token_counts(df, "id", "text")
+    assert _spread(counts) >= 8
+    assert {(r["id"], r["cnt"]) for r in counts.filter("token = 'a'").collect()} == {(0, 2), (None, 2)} | {(i, 1) for i in range(1, 200)}
+    monkeypatch.setattr(sim, "TASK_PAIRS", 100, raising=False)
+    vectors = voc.term_vectors(df.filter("id > 0"), "id", "text", stemming=False).cache()
+    asked = vectors.filter("id < 5").withColumnRenamed("id", "query_id")
+    pairs = sim.scored_pairs(asked, vectors, "query_id", "id")
+    assert _spread(pairs) >= 6 and pairs.count() == 4 * 199
