@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinis.functions.text import contains_text, name_key
-from affinis.operators.joins import salted_lookup
+from affinis.functions.text import name_key
+from affinis.operators.joins import salted_lookup, spread_join
 from affinis.session import fits_broadcast, written
 from affinis.spec import LIVESTOCK, ProfileSpec
 
@@ -123,29 +123,35 @@ def raised(result: DataFrame) -> DataFrame:
 def substring_hits(queries: DataFrame, entities: DataFrame, limit: int, spec: ProfileSpec = LIVESTOCK) -> DataFrame:
     """The first ``limit`` entities by id whose name holds the part, per (query_id, part).
 
-    Names are indexed by their runs of one to three letters and looked up by the
-    last run of the part, so it is an equi-join; the whole part is then tested
-    in the join. An empty part finds nothing.
+    Names are indexed by their runs of one, two, four, ... letters, as hashes, and a part is looked up
+    by its last run of the largest such length that fits in it. So it is an equi-join that few
+    other names pass; the whole part is then tested in the join. Of the entities that share a name
+    only the first ``limit`` can be results, and equal questions are asked once. An empty part finds nothing.
     """
     part = name_key(F.col("part"))
-    wanted = queries.filter(F.length(part) > 0).select(
-        "query_id", "part", F.right(part, F.least(F.length(part), F.lit(3))).alias("__run")
-    )
+    asked = queries.filter(F.length(part) > 0).groupBy("query_id", "part").agg(F.count(F.lit(1)).alias("__asked"))
+    asked = written(asked.withColumn("__key", name_key(F.col("part"))), "asked")
+    longest = asked.agg(F.coalesce(F.max(F.length("__key")), F.lit(1))).first()[0]
+    fit = F.coalesce(*[F.when(F.length("__key") >= 1 << b, F.lit(1 << b)) for b in reversed(range(longest.bit_length()))])
+    lengths = [row[0] for row in asked.select(fit).distinct().collect()]  # powers of two
+    wanted = asked.withColumn("__run", F.xxhash64(F.right("__key", fit)))
+
+    by_name = Window.partitionBy(spec.name).orderBy(spec.entity)
+    few = entities.filter(F.length(spec.name) > 0).withColumn("__at", F.row_number().over(by_name)).filter(F.col("__at") <= limit)
+    named = written(few.groupBy(spec.name).agg(F.collect_list(F.struct(spec.entity, spec.group)).alias("__in")), "names")
     low = F.lower(F.col(spec.name))
-    starts = F.sequence(F.lit(1), F.length(low))
-    runs = [
-        F.transform(starts, lambda i: F.left(F.substr(low, i), F.lit(1))),
-        F.transform(starts, lambda i: F.left(F.substr(low, i), F.lit(2))),
-        F.transform(starts, lambda i: F.left(F.substr(low, i), F.lit(3))),
-    ]
-    held = entities.filter(F.length(spec.name) > 0).select(
-        spec.entity, spec.name, spec.group, F.explode(F.array_distinct(F.concat(*runs))).alias("__run")
-    )
-    return _first(
-        salted_lookup(held, wanted, ["__run"], spec.entity).filter(contains_text(F.col(spec.name), F.col("part"))),
-        limit,
-        [spec.entity],
-    ).select("query_id", spec.entity, spec.name, spec.group)
+    runs = F.array_distinct(F.flatten(F.array(*[_runs(low, n) for n in lengths]))) if lengths else F.array().cast("array<bigint>")
+    held = named.withColumn("__run", F.explode(runs))
+    met = spread_join(held, wanted, ["__run"], spec.name).filter(F.lower(spec.name).contains(F.col("__key")))
+    once = _first(met.select("query_id", "__asked", spec.name, F.inline("__in")), limit, [spec.entity]).drop("rank")
+    every = once.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.least("__asked", F.lit(limit)))))
+    return _first(every, limit, [spec.entity]).select("query_id", spec.entity, spec.name, spec.group)
+
+
+def _runs(text: Column, length: int) -> Column:
+    """Hashes of all runs of ``length`` letters."""
+    starts = F.when(F.length(text) >= length, F.sequence(F.lit(1), F.length(text) - (length - 1)))
+    return F.coalesce(F.transform(starts, lambda i: F.xxhash64(F.substr(text, i, F.lit(length)))), F.array().cast("array<bigint>"))
 
 
 def _first(df: DataFrame, limit: int, order: list) -> DataFrame:
@@ -182,9 +188,11 @@ def _sharing_letters(queries: DataFrame, entities: DataFrame, share: float, spec
             .withColumn("letter", F.explode(f"{prefix}_head"))
         )
 
-    names = entities.select(spec.name).distinct()
+    # Written, as Spark would else test the letters of every row before it makes names distinct.
+    names = written(entities.select(spec.name).distinct(), "names")
     held = heads(names, spec.name, "n").withColumn("length", F.length(spec.name))
-    asked = heads(queries.filter(F.length(name_key(F.col("part"))) > 0).select("query_id", "part"), "part", "q")
+    texts = written(queries.filter(F.length(name_key(F.col("part"))) > 0).select("query_id", "part"), "parts")
+    asked = heads(texts, "part", "q")
     own = F.length("part")
     lengths = F.sequence(F.ceil(own * share - 1e-9).cast("int"), F.floor(own / share + 1e-9).cast("int"))
     wanted = asked.withColumn("length", F.explode(lengths))
@@ -282,11 +290,10 @@ def search(
         .select("query_id", "part")
     )
     hits = written(fuzzy(short, entities, max_results, spec, cutoff), "fuzzy")
-    close = (
-        salted_lookup(entities, hits, [spec.name], spec.entity)
-        .groupBy("query_id", spec.name, spec.group)
-        .agg(F.min(spec.entity).alias(spec.entity), F.max("ratio").alias("ratio"))
-    )
+    # Entities that share name and group are one before they meet the queries that found the name.
+    known = entities.groupBy(spec.name, spec.group).agg(F.min(spec.entity).alias(spec.entity))
+    met = known.join(F.broadcast(hits), spec.name) if fits_broadcast(hits) else spread_join(known, hits, [spec.name], spec.group)
+    close = met.groupBy("query_id", spec.name, spec.group).agg(F.min(spec.entity).alias(spec.entity), F.max("ratio").alias("ratio"))
     told = exact.select(*[F.col(c).alias(f"__{c}") for c in ("query_id", spec.name, spec.group)]).distinct()
     same = (F.col("query_id") == F.col("__query_id")) & (F.col(spec.name) == F.col(f"__{spec.name}"))
     close = close.join(told, same & F.col(spec.group).eqNullSafe(F.col(f"__{spec.group}")), "left_anti")

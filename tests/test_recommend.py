@@ -239,3 +239,22 @@ def test_ratio_of_matching_blocks(spark):
         assert got == {q: difflib.get_close_matches(part, names, 4, cutoff) if part and part.strip() else [] for q, part in asked.items()}
     found = lookup.search(queries, entities, 5, fuzzy=lookup.ratio_hits)
     assert found.filter("stage = 'fuzzy'").count() > 0
+
+
+def test_substring_of_shared_names_and_runs(spark, monkeypatch):
+    """Names and endings that very many share: no pair twice, equal questions as often as they were asked."""
+    from affinis.operators import joins
+
+    monkeypatch.setattr(joins, "ROWS_PER_SALT", 20)
+    names = [f"Customer#{i:05d}" for i in range(300)] + ["Same Name"] * 50
+    entities = spark.createDataFrame([(i, n, "g") for i, n in enumerate(names)], f"{ID} int, {NAME} string, {GROUP} string")
+    parts = [(n, n[:-1]) for n in names[:300:7]] + [("same", "me na"), ("same", "me na"), ("twice", "00012"), ("twice", "00012"), ("0", "0"), ("all", "customer#"), ("far", "x" * 40)]
+    got = {}
+    asked = spark.createDataFrame(parts, "query_id string, part string")
+    monkeypatch.setattr("affinis.operators.joins.fits_broadcast", lambda *_: False)
+    for r in lookup.substring_hits(asked, entities, 3).collect():
+        got.setdefault(r["query_id"], []).append(r[ID])
+    want = {}
+    for q, p in parts:
+        want.setdefault(q, []).extend(i for i, n in enumerate(names) if p.strip().lower() in n.lower())
+    assert {q: sorted(ids) for q, ids in got.items()} == {q: sorted(ids)[:3] for q, ids in want.items() if ids}
