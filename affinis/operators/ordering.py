@@ -97,10 +97,16 @@ def positions(
     key = groups + order
     splits = split_points(df, key, key, ranges)
     ranged = in_ranges(df, key, splits)
+    if splits:
+        return positions_in_ranges(ranged, order, groups, name)
+    local = Window.partitionBy(*groups, RANGE).orderBy(*order)
+    return ranged.withColumn(name, F.row_number().over(local).cast("bigint") - 1).drop(RANGE)
+
+
+def positions_in_ranges(ranged: DataFrame, order: Sequence[str], groups: Sequence[str] = (), name: str = "position") -> DataFrame:
+    """:func:`positions` of rows whose ``RANGE`` is known; within a group it never falls along the order."""
     local = Window.partitionBy(*groups, RANGE).orderBy(*order)
     numbered = ranged.withColumn(name, F.row_number().over(local).cast("bigint") - 1)
-    if not splits:
-        return numbered.drop(RANGE)
     before = _range_counts(ranged, groups).select(*groups, RANGE, "__before")
     if not groups:
         before = F.broadcast(before)  # one row per range

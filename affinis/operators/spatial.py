@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from affinis.functions.vectors import cosine, norm_l2
 from affinis.operators.joins import attached, salted_lookup, weighted_lookup
-from affinis.operators.ordering import RANGE, in_ranges, positions, running_total, split_points
+from affinis.operators.ordering import RANGE, in_ranges, positions, positions_in_ranges, running_total, split_points
 from affinis.session import written
 
 CELL_PLACES = 2_048  # places in a cell of the finest grid, unless places are too close for a finer one
@@ -23,6 +23,8 @@ BLOCK = 1_024  # places of a cell that one join key holds
 PERMUTATIONS = 99
 SEED = 42
 DIGITS = 9  # of statistics that are compared with permuted ones
+RANGE_NODES = 20_000  # nodes of a permutation that are put in order together
+TASK_DRAWS = 1_000_000  # draws, a node's in one permutation, that one task hashes or puts in order
 CONTINUE = 4  # by how much a round's cells are wider than those before
 
 
@@ -142,11 +144,16 @@ def shuffled(nodes: DataFrame, permutations: int, seed: int) -> DataFrame:
     """(id, z, drawn): for each permutation which node's value the id gets, as (source, z); the first is its own.
 
     A permutation is the order of hashes of (seed, permutation, id): no state, and the
-    same on every run.
+    same on every run. Hashes are even, so their leading digits are ranges of about
+    equal size, and as many of them as the counted nodes need.
     """
-    keyed = nodes.select("id", F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("perm"))
-    hashed = written(keyed.withColumn("h", F.md5(F.concat_ws(":", F.lit(seed), "perm", "id"))), "hashes")
-    placed = positions(hashed, ["h", "id"], ["perm"]).select("id", "perm", "position")
+    n = nodes.count()
+    tasks, ranges = max(1, -(-n * permutations // TASK_DRAWS)), max(1, -(-n // RANGE_NODES))
+    keyed = nodes.select("id").repartition(tasks, "id").select("id", F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("perm"))
+    digits = F.md5(F.concat_ws(":", F.lit(seed), "perm", "id"))
+    leading = F.conv(F.substring(digits, 1, 8), 16, 10).cast("bigint")
+    hashed = keyed.select("id", "perm", F.unhex(digits).alias("h"), F.floor(leading * ranges / (1 << 32)).alias(RANGE))
+    placed = positions_in_ranges(hashed.repartition(tasks, "perm", RANGE), ["h", "id"], ["perm"]).select("id", "perm", "position")
     got = placed.join(nodes.select("position", F.col("id").alias("source"), "z"), "position").select("id", "perm", "source", "z")
     every = got.unionByName(nodes.select("id", F.lit(0).alias("perm"), F.col("id").alias("source"), "z"))
     lists = every.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("perm", "source", "z"))).alias("drawn"))
@@ -204,6 +211,35 @@ def benjamini_hochberg(df: DataFrame, p: str, spread: str, name: str = "p_adjust
     return known.unionByName(df.filter(F.col(p).isNull()).withColumn(name, F.lit(None).cast("double")))
 
 
+def _lags(edges: DataFrame, drawn: DataFrame, permutations: int) -> DataFrame:
+    """(id, lags): the weighted sums of what the neighbours have drawn, by permutation.
+
+    An edge stays one row: its share of each permutation's sum is a column of its own, and so is
+    the weight of neighbours that have drawn the node's value and get what the node has drawn.
+    """
+    of_j = drawn.select(F.col("id").alias("j"), F.col("drawn.source").alias("sources"), F.col("drawn.z").alias("values"))
+    each = range(permutations + 1)
+    back = [(F.col("sources")[p] == F.col("i")) & F.lit(p > 0) for p in each]
+    sums = attached(edges, of_j, "j", "i").groupBy(F.col("i").alias("id")).agg(
+        *[F.sum(F.when(back[p], 0.0).otherwise(F.col("w") * F.col("values")[p])).alias(f"s{p}") for p in each],
+        *[F.sum(F.when(back[p], F.col("w")).otherwise(0.0)).alias(f"b{p}") for p in each],
+    )
+    lags = F.array(*[F.col(f"s{p}") + F.col(f"b{p}") * F.col("values")[p] for p in each])
+    return sums.join(drawn.select("id", F.col("drawn.z").alias("values")), "id").select("id", lags.alias("lags"))
+
+
+def _lags_of_repeats(edges: DataFrame, drawn: DataFrame) -> DataFrame:
+    """:func:`_lags` where ids repeat, so that lists of draws differ in length and are met place by place."""
+    part = F.zip_with(
+        "drawn_i",
+        "drawn_j",
+        lambda a, b: F.struct(a["perm"].alias("perm"), (F.col("w") * F.when((b["source"] == F.col("i")) & (b["perm"] > 0), a["z"]).otherwise(b["z"])).alias("c")),
+    )
+    sums = _both_ends(edges, drawn).select("i", F.explode(part).alias("p")).groupBy("i", "p.perm").agg(F.sum("p.c").alias("lag"))
+    each = F.sort_array(F.collect_list(F.struct("perm", "lag")))
+    return sums.groupBy(F.col("i").alias("id")).agg(F.transform(each, lambda x: x["lag"]).alias("lags"))
+
+
 def local_moran(edges: DataFrame, values: DataFrame, entity: str = "id", value: str = "value", permutations: int = PERMUTATIONS, seed: int = SEED) -> DataFrame:
     """(id, z, lag, local_i, quadrant, p_value, p_adjusted) of every node with a value.
 
@@ -214,16 +250,11 @@ def local_moran(edges: DataFrame, values: DataFrame, entity: str = "id", value:
     """
     nodes = _nodes(values, entity, value)
     variance = nodes.agg(F.avg(F.col("z") * F.col("z")).alias("m2"))
-    ends = _both_ends(row_standardised(edges.filter(finite("w"))), shuffled(nodes, permutations, seed))
-    part = F.zip_with(
-        "drawn_i",
-        "drawn_j",
-        lambda a, b: F.struct(a["perm"].alias("perm"), (F.col("w") * F.when((b["source"] == F.col("i")) & (b["perm"] > 0), a["z"]).otherwise(b["z"])).alias("c")),
-    )
-    lags = ends.select("i", F.explode(part).alias("p")).groupBy("i", "p.perm").agg(F.sum("p.c").alias("lag"))
-    each = lags.groupBy("i").agg(F.sort_array(F.collect_list(F.struct("perm", "lag"))).alias("lags")).withColumnRenamed("i", "id")
-    score = nodes.join(each, "id", "left").join(F.broadcast(variance)).withColumn("lag", F.col("lags")[0]["lag"])  # one row
-    scores = F.transform("lags", lambda x: F.round(F.try_divide(F.col("z") * x["lag"], F.col("m2")), DIGITS))
+    drawn, weighted = shuffled(nodes, permutations, seed), written(row_standardised(edges.filter(finite("w"))), "weighted")
+    unique = nodes.select("id").distinct().count() == nodes.count()
+    lags = _lags(weighted, drawn, permutations) if unique else _lags_of_repeats(weighted, drawn)
+    score = nodes.join(lags, "id", "left").join(F.broadcast(variance)).withColumn("lag", F.col("lags")[0])  # one row
+    scores = F.transform("lags", lambda x: F.round(F.try_divide(F.col("z") * x, F.col("m2")), DIGITS))
     above = F.size(F.filter("scores", lambda s: s >= F.col("scores")[0])) - 1
     high, around = F.col("z") > 0, F.col("lag") > 0
     quadrant = F.when(F.col("lag").isNotNull(), F.when(high & around, 1).when(~high & around, 2).when(~high, 3).otherwise(4))

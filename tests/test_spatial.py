@@ -122,6 +122,29 @@ def test_moran(spark, monkeypatch, graph, salt):
             assert (r.lag, r.local_i, r.p_adjusted) == (pytest.approx(lag), pytest.approx(score, abs=1e-8), pytest.approx(adjusted[i]))
 
 
+def test_draws_by_size(spark, monkeypatch, graph):
+    """Hashes are made and put in order in as many tasks as there are draws for; ranges of hashes change no draw."""
+    monkeypatch.setattr(spatial, "TASK_DRAWS", 100, raising=False)
+    monkeypatch.setattr(spatial, "RANGE_NODES", 7, raising=False)
+    tasks, made = [], getattr(spatial, "positions_in_ranges", None)
+    monkeypatch.setattr(spatial, "positions_in_ranges", lambda df, *a, **b: tasks.append(df.rdd.getNumPartitions()) or made(df, *a, **b), raising=False)
+    _, values = graph
+    nodes = spatial._nodes(spark.createDataFrame(values, "id long, value double"), "id", "value")
+    drawn = {r.id: {d.perm: d.source for d in r.drawn} for r in spatial.shuffled(nodes, 9, 5).collect()}
+    assert tasks == [6]  # 60 nodes, 9 permutations
+    assert drawn == {i: {p: draw[i] for p, draw in draws(dict(values), 9, 5).items()} for i, _ in values}
+
+
+def test_an_edge_stays_one_row(spark, graph):
+    edges, values = graph
+    nodes = spatial._nodes(spark.createDataFrame(values, "id long, value double"), "id", "value")
+    drawn, e = spatial.shuffled(nodes, 9, 5), spark.createDataFrame([*edges, (4, 4, 2.0), (999, 1, 1.0)], "i long, j long, w double")
+    sums = spatial._lags(e, drawn, 9)
+    assert "zip_with" not in sums._jdf.queryExecution().optimizedPlan().toString()  # draws of an edge are not made rows
+    listed = {r.id: r.lags for r in spatial._lags_of_repeats(e, drawn).collect()}
+    assert {r.id: r.lags for r in sums.collect()} == {i: pytest.approx(lags) for i, lags in listed.items()}
+
+
 def step_up(p):
     order = sorted(p, key=p.get)
     out, least = {}, 1.0
