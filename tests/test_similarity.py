@@ -78,6 +78,16 @@ def test_lookups_with_a_heavy_key(spark, monkeypatch, per_salt):
     assert got.count() == 300 and got.filter("name IS NULL").count() == rows.filter("k = 0").count()
 
 
+def test_lookups_by_counted_rows(spark, monkeypatch):
+    """More rows than the session's partitions are meant for: more tasks, the same rows."""
+    rows = spark.range(300).select("id", (F.col("id") % 50).alias("k"))
+    table = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.concat(F.lit("k"), "k"))
+    monkeypatch.setattr(joins, "LOOKUP_ROWS", 15, raising=False)
+    found = joins.weighted_lookup(rows, table, ["k"], "n", "id")
+    assert _spread(found) > 4  # the session's setting
+    assert sorted(found.select("id", "name").collect()) == sorted(rows.join(table, "k").select("id", "name").collect())
+
+
 def test_frozen_vocabulary(spark):
     fit = spark.createDataFrame([(1, "upland ua"), (2, "lowland ub")], "id int, text string")
     vocabulary = voc.fit_vocabulary(voc.token_counts(fit, "id", "text"))
