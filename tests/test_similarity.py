@@ -96,6 +96,23 @@ def test_frozen_vocabulary(spark):
     assert got == {1: 1, 2: 0, 3: 0}
 
 
+def test_large_frozen_vocabulary_is_not_sorted(spark, monkeypatch):
+    """Texts that ask for few tokens of a large vocabulary: it is read, but neither moved nor sorted; entities without a known token stay."""
+    vocabulary = spark.range(500).select(F.concat(F.lit("w"), "id").alias("token"), F.col("id").alias("idx"))
+    asked = spark.createDataFrame([(1, "w1 w1 w499"), (2, "none"), (3, None), (None, "w7")], "id int, text string")
+    monkeypatch.setattr("affinis.session.BROADCAST_ROWS", 20)  # the vocabulary isn't small, what is asked for is
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        vectors = voc.term_vectors(asked, "id", "text", False, vocabulary)
+        assert "SortMergeJoin" not in vectors._jdf.queryExecution().executedPlan().toString()
+        assert {r["id"]: r["l1"] for r in vectors.collect()} == {1: 3, 2: 0, 3: 0, None: 1}
+        many = spark.range(40).select(F.col("id").cast("int").alias("id"), F.concat(F.lit("w"), "id").alias("text"))
+        assert voc.term_vectors(many, "id", "text", False, vocabulary).agg(F.sum("l1")).first()[0] == 40  # asks for more than is small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_stemmed_counts_join_variants(spark):
     df = spark.createDataFrame([(1, "caprinos caprino alta_caprinos"), (2, "Caprinos")], "id int, text string")
     got = {(r["id"], r["token"]): r["cnt"] for r in voc.text_counts(df, "id", "text").collect()}
