@@ -105,8 +105,11 @@ def test_large_frozen_vocabulary_is_not_sorted(spark, monkeypatch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         vectors = voc.term_vectors(asked, "id", "text", False, vocabulary)
-        assert "SortMergeJoin" not in vectors._jdf.queryExecution().executedPlan().toString()
+        terms = voc.indexed_terms(vectors, vocabulary, "id")
+        for df in (vectors, terms):
+            assert "SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString()
         assert {r["id"]: r["l1"] for r in vectors.collect()} == {1: 3, 2: 0, 3: 0, None: 1}
+        assert {tuple(r) for r in terms.collect()} == {(1, 1, "w1", 2), (1, 499, "w499", 1), (None, 7, "w7", 1)}
         many = spark.range(40).select(F.col("id").cast("int").alias("id"), F.concat(F.lit("w"), "id").alias("text"))
         assert voc.term_vectors(many, "id", "text", False, vocabulary).agg(F.sum("l1")).first()[0] == 40  # asks for more than is small
     finally:
