@@ -78,17 +78,16 @@ def interactions(failing: dict[str, DataFrame]) -> DataFrame:
 
     def spread(sets: dict[str, list[int]]) -> DataFrame:
         """Each failing row once for each of its filter's sets: as many as there are sets of filters, at most."""
-        tables = [
-            table.withColumn("filter", F.lit(name)).withColumn("prefix", F.explode(F.array(*[F.lit(s).cast("tinyint") for s in sets[name]])))
-            for name, table in failing.items()
-        ]
+        tables = [table.withColumn("filter", F.lit(name)) for name, table in failing.items()]
         out = tables[0]
         for table in tables[1:]:
             out = out.unionAll(table)
-        return out
+        own = F.create_map(*[x for name in failing for x in (F.lit(name), F.array(*[F.lit(s).cast("tinyint") for s in sets[name]]))])
+        return out.withColumn("prefix", F.explode(F.element_at(own, F.col("filter"))))  # after the union, else a join would go below it, once for each filter
 
     asked = spread(before)
-    hit = spread(holding).select("row_at", "prefix")
+    # Spark goes by the size of the tables' files, which says little about these rows, and would send them to every task.
+    hit = spread(holding).select("row_at", "prefix").hint("merge")
     removed = asked.join(hit, ["row_at", "prefix"], "left_anti").groupBy("part", "filter", "prefix").agg(
         F.count(F.lit(1)).alias("removed"), F.count_if("good").alias("good_lost"), F.count_if("toxic").alias("toxic_lost")
     )

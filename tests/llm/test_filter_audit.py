@@ -91,3 +91,15 @@ def test_empty_tables(spark):
     one = spark.createDataFrame([(1, "some " * 300_000, "en")], DOCS)
     found = filter_audit.audit(one, labels)
     assert found.count() == 600 and found.agg(F.sum("removed")).first()[0] == 120
+
+
+def test_failing_rows_are_never_broadcast(spark):
+    """Neither side of the joins goes to the driver, however small its tables are said to be, and each is one join."""
+    rows = [(i, "en", i % 2 == 0, i % 5 == 0) for i in range(40)]
+    failing = {name: spark.createDataFrame(rows[at:], "row_at long, part string, good boolean, toxic boolean") for at, name in enumerate("ABCDE")}
+    found = filter_audit.interactions(failing)
+    first = {(r.filter, r.prefix): (r.removed, r.redundant) for r in found.collect()}
+    assert first["A", 0] == (40, 0) and first["A", 2] == (1, 39) and first["E", 14] == (0, 36)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
+    assert plan.count("Anti") == plan.count("LeftSemi") > 0 and found._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti") == 1
